@@ -138,6 +138,11 @@ def classify(bug_type: Column, attack: Column) -> Column:
     )
 
 
+def classify_tier(bug_tier: Column, attack: Column) -> Column:
+    """P9 from the labelling tier: any label fired <=> the tier is set."""
+    return classify(bug_tier, attack)
+
+
 def is_blocked(action: Column) -> Column:
     """Action in DENY/DROP/REJECT (case-sensitive)."""
     return action.isin(*BLOCKED_ACTIONS)
@@ -153,19 +158,50 @@ def is_deny(action: Column) -> Column:
     return F.upper(F.coalesce(action.cast("string"), F.lit(""))).isin(*BLOCKED_ACTIONS)
 
 
-def severity_batch(log_type: Column, reason: Column, flags: Column, action: Column, bug_type: Column) -> Column:
-    """P12 on normalised columns (reason lower, flags/action upper, bug_type '' if none)."""
+def tier_from_conditions(conditions: list[tuple[str, Column]]) -> Column:
+    """Bug severity tier straight from the label conditions; null for a clean record.
+
+    Equal to testing the joined label text for the tier markers, but each
+    condition is evaluated once instead of once per marker test, which keeps
+    filters on ``severity`` (pushed below the projection) small enough for
+    whole-stage codegen.
+    """
+    tier_of = dict(BUG_LABELS)
+    expr = None
+    for tier in ("High", "Medium", "Low"):
+        group = [F.coalesce(c, F.lit(False)) for name, c in conditions if tier_of[name] == tier]
+        if not group:
+            continue
+        cond = group[0]
+        for g in group[1:]:
+            cond = cond | g
+        expr = F.when(cond, F.lit(tier)) if expr is None else expr.when(cond, F.lit(tier))
+    return expr
+
+
+def tier_from_text(bug_type: Column) -> Column:
+    """Bug severity tier from joined label text, as the reference tests it ('' = clean)."""
+    return (
+        F.when(contains_any(bug_type, HIGH_BUG_MARKERS), F.lit("High"))
+        .when(contains_any(bug_type, MEDIUM_BUG_MARKERS), F.lit("Medium"))
+        .when(contains_any(bug_type, LOW_BUG_MARKERS), F.lit("Low"))
+    )
+
+
+def severity_batch(log_type: Column, reason: Column, flags: Column, action: Column, bug_type: Column,
+                   bug_tier: Column | None = None) -> Column:
+    """P12 on normalised columns (reason lower, flags/action upper, bug_type '' if none).
+
+    ``bug_tier`` may carry the tier computed during labelling; otherwise it
+    is read from the label text. A Bug without a known marker is Medium.
+    """
     high_attack = contains_any(reason, HIGH_SEVERITY_PHRASES) | contains_any(flags, HIGH_SEVERITY_FLAGS)
     medium_attack = contains_any(reason, MEDIUM_SEVERITY_PHRASES) | contains_any(flags, MEDIUM_SEVERITY_FLAGS)
     attack_sev = (
         F.when(high_attack, F.lit("High")).when(medium_attack, F.lit("Medium")).otherwise(F.lit("Low"))
     )
-    bug_sev = (
-        F.when(contains_any(bug_type, HIGH_BUG_MARKERS), F.lit("High"))
-        .when(contains_any(bug_type, MEDIUM_BUG_MARKERS), F.lit("Medium"))
-        .when(contains_any(bug_type, LOW_BUG_MARKERS), F.lit("Low"))
-        .otherwise(F.lit("Medium"))
-    )
+    tier = tier_from_text(bug_type) if bug_tier is None else bug_tier
+    bug_sev = F.coalesce(tier, F.lit("Medium"))
     # in the batch profile every blocked normal record is Medium, suspicious or not
     normal_sev = F.when(is_blocked(action), F.lit("Medium")).otherwise(F.lit("Low"))
     return (

@@ -13,6 +13,8 @@ from ..functions import rules
 from ..functions.timefmt import normalize_timestamp
 
 TIMESTAMP_MODES = ("parsed", "raw")
+# internal column: bug severity tier carried from labelling to scoring
+BUG_TIER = "_bug_tier"
 BATCH_OUTPUTS = ("bug_type", "log_type", "severity", "attack_type")
 API_OUTPUTS = ("log_type", "bug_type", "attack_type", "severity")
 
@@ -54,10 +56,11 @@ def classify_records(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame
     conds = rules.batch_label_conditions(_rule_timestamp(timestamp_mode))
     staged = df.withColumns({
         "bug_type": rules.join_labels(conds),
+        BUG_TIER: rules.tier_from_conditions(conds),
         "_is_attack": rules.is_attack(),
     })
     return (
-        staged.withColumn("log_type", rules.classify(F.col("bug_type"), F.col("_is_attack")))
+        staged.withColumn("log_type", rules.classify_tier(F.col(BUG_TIER), F.col("_is_attack")))
         .withColumn("timestamp", normalize_timestamp(F.col("timestamp").cast("string")))
         .drop("_is_attack")
     )
@@ -77,12 +80,15 @@ def normalize_text(df: DataFrame) -> DataFrame:
 
 
 def score_records(df: DataFrame) -> DataFrame:
-    """P12 + P13 on a normalised frame."""
+    """P12 + P13 on a normalised frame (uses the labelling tier when present)."""
     lt = F.col("log_type")
-    return df.withColumns({
-        "severity": rules.severity_batch(lt, F.col("reason"), F.col("flags"), F.col("action"), F.col("bug_type")),
+    tier = F.col(BUG_TIER) if BUG_TIER in df.columns else None
+    out = df.withColumns({
+        "severity": rules.severity_batch(lt, F.col("reason"), F.col("flags"), F.col("action"), F.col("bug_type"),
+                                         tier),
         "attack_type": rules.attack_type_batch(lt, F.col("reason")),
     })
+    return out.drop(BUG_TIER)
 
 
 def analyze_batch(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame:
