@@ -100,6 +100,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's parquet tables."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan yields fewer splits than cores.
+
+    A small table stored as one row group is read by a single task, and every
+    row-local operator after it would run on one core. Large inputs already
+    have more splits than cores and pass through untouched (no shuffle added).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
+    """One of the driver's parquet tables (spread over all cores when it is small)."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df) if spread_small else df
