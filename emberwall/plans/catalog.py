@@ -493,6 +493,45 @@ def q_top_suspicious_ips(spark, d):
     return text_times(A.top_suspicious_ips(A.suspicious_ips_build(curated(spark, d))))
 
 
+def _stored_rollups(spark, d):
+    base = shared_dir(spark, "rollups")
+    K.write_rollup_tables(curated(spark, d), base)
+    return base
+
+
+@register("rollup_timeline_table", f"""{WCU}
+SELECT coalesce({Q.fmt_ts('h')}, 'None') AS hour, total FROM (
+  SELECT date_trunc('hour', timestamp) AS h, count(*) AS total FROM curated
+  WHERE timestamp IS NOT NULL AND firewall_id IS NOT NULL AND protocol IS NOT NULL AND action IS NOT NULL
+  GROUP BY 1 ORDER BY h ASC NULLS LAST LIMIT 168)""")
+def q_rollup_timeline_table(spark, d):
+    base = _stored_rollups(spark, d)
+    return A.timeline_rollup(K.read_rollup_table(spark, base, "firewall_stats_hourly"))
+
+
+@register("rollup_top_ports_table", f"{WCU} SELECT * REPLACE ({Q.fmt_ts('last_seen')} AS last_seen) FROM ({PORTS_SQL}) "
+          "ORDER BY total_connections DESC, port, port_type, protocol LIMIT 50")
+def q_rollup_top_ports_table(spark, d):
+    base = _stored_rollups(spark, d)
+    return text_times(A.top_ports(K.read_rollup_table(spark, base, "firewall_top_ports")))
+
+
+@register("rollup_suspicious_ips_table", f"{WCU} SELECT * REPLACE ({Q.fmt_ts('last_blocked')} AS last_blocked) "
+          f"FROM ({SUSPICIOUS_SQL}) ORDER BY blocked_count DESC, ip_address, ip_type LIMIT 50")
+def q_rollup_suspicious_ips_table(spark, d):
+    base = _stored_rollups(spark, d)
+    return text_times(A.top_suspicious_ips(K.read_rollup_table(spark, base, "firewall_suspicious_ips")))
+
+
+@register("read_logs", f"{WCU} SELECT id, {Q.fmt_ts('timestamp')} AS timestamp, severity, action, protocol, "
+          "src_ip, dst_ip, reason FROM curated WHERE action = 'DENY' AND (src_ip ILIKE '%10.0.1%' OR "
+          "dst_ip ILIKE '%10.0.1%' OR reason ILIKE '%10.0.1%' OR firewall_id ILIKE '%10.0.1%') "
+          "ORDER BY curated.timestamp DESC NULLS FIRST, id LIMIT 100 OFFSET 20")
+def q_read_logs(spark, d):
+    page = S.page_logs(curated(spark, d), skip=20, limit=100, action="DENY", search="10.0.1")
+    return text_times(page.select(*_PAGE_COLS.split(", ")))
+
+
 # ---- JSON lines: parse, partition key, projection, dedup (P3-P5, W1, A13-A15) ---------------
 
 @register("parse_iso", f"""WITH {Q.log_lines_cte()}
@@ -628,6 +667,13 @@ def q_landing_inventory(spark, d):
     return J.landing_inventory(spark, base)
 
 
+@register("landing_latest_parts")
+def q_landing_latest_parts(spark, d):
+    base = shared_dir(spark, "landing")
+    K.landing_write(lines(spark, d), base)
+    return J.landing_latest_parts(spark, base)
+
+
 @register("reconcile_counts", f"WITH {Q.log_lines_cte()} SELECT count(*) AS source_rows, count(*) AS landed_rows, "
           "true AS matches FROM log_lines")
 def q_reconcile_counts(spark, d):

@@ -76,8 +76,11 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     local = tempfile.mkdtemp(prefix="emberwall-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+        return spark.sparkContext.getCheckpointDir().rstrip("/")
+    except Exception:  # noqa: BLE001 - no SparkContext handle: use the folder as is
+        return local
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -107,10 +110,12 @@ def spread(df: DataFrame) -> DataFrame:
     row-local operator after it would run on one core. Large inputs already
     have more splits than cores and pass through untouched (no shuffle added).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:

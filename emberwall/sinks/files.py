@@ -103,3 +103,30 @@ def progress_json(snapshot: DataFrame) -> str:
     """K5: the snapshot as compact JSON text (one row)."""
     row = snapshot.first().asDict()
     return json.dumps(row, separators=(",", ":"))
+
+
+ROLLUP_TABLES = ("firewall_stats_hourly", "firewall_top_ports", "firewall_suspicious_ips")
+
+
+def write_rollup_tables(curated: DataFrame, base: str, thresholds=None, mode: str = "overwrite") -> dict[str, str]:
+    """Build and store the three rollup tables the read API serves.
+
+    The hourly table is partitioned by day (readers prune by time); the two
+    small tables are rebalanced into a few files. Returns table -> path.
+    """
+    from ..operators import aggregates as A
+
+    paths = {name: f"{base}/{name}" for name in ROLLUP_TABLES}
+    hourly = A.hourly_rollup(curated).withColumn("day", F.date_format("hour_timestamp", "yyyy-MM-dd"))
+    (hourly.hint("rebalance", "day").write.mode(mode).partitionBy("day")
+     .option("compression", "zstd").parquet(paths["firewall_stats_hourly"]))
+    A.top_ports_build(curated).hint("rebalance").write.mode(mode).parquet(paths["firewall_top_ports"])
+    sus = A.suspicious_ips_build(curated, thresholds) if thresholds else A.suspicious_ips_build(curated)
+    sus.hint("rebalance").write.mode(mode).parquet(paths["firewall_suspicious_ips"])
+    return paths
+
+
+def read_rollup_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """One stored rollup table (partition column dropped)."""
+    df = spark.read.parquet(f"{base}/{name}")
+    return df.drop("day") if "day" in df.columns else df
