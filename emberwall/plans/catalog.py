@@ -774,6 +774,17 @@ def q_stream_hourly_rollup(spark, d):
     return _rounded_rollup(ST.read_hourly_rollup(spark, table))
 
 
+@register("stream_window_rollup", f"""{WCU}
+SELECT hour_timestamp, firewall_id, protocol, action, total_events, total_bytes, avg_duration_ms
+FROM ({HOURLY_SQL})""")
+def q_stream_window_rollup(spark, d):
+    src = _source_files(spark, d, "stream-fw", _fw_json_lines(spark, d))
+    table = shared_dir(spark, "stream-window")
+    ST.stream_window_rollup(spark, src, table, shared_dir(spark, "ckpt"))
+    rolled = ST.read_window_rollup(spark, table).drop("unique_src_ips", "unique_dst_ips")
+    return _rounded_rollup(rolled.withColumn("total_bytes", F.col("total_bytes").cast("bigint")))
+
+
 @register("stream_dedup", f"{WING} SELECT DISTINCT id, {Q.fmt_ts('timestamp')} AS timestamp FROM ingested")
 def q_stream_dedup(spark, d):
     src = _source_files(spark, d, "stream-src")
