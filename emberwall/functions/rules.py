@@ -45,9 +45,30 @@ def _s(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+_DIGITS = "0123456789"
+_ALNUM = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" + _DIGITS
+
+
+def has_non_digit(text: Column) -> Column:
+    """Same truth as ``rlike('[^0-9]')`` without a regex: anything left after removing digits."""
+    return F.length(F.translate(text, _DIGITS, "")) > 0
+
+
 def _bad_port(port: Column) -> Column:
     # a non-digit anywhere, or above the port range; try_cast keeps text ports labelled
-    return port.rlike("[^0-9]") | (port.try_cast("double") > F.lit(MAX_PORT))
+    return has_non_digit(port) | (port.try_cast("double") > F.lit(MAX_PORT))
+
+
+def _invalid_ip(ip: Column) -> Column:
+    # the reference's pattern is a regex (dots match anything); every match contains
+    # '999', so the cheap byte search filters first and the regex runs on candidates only
+    return F.when(ip.contains("999"), ip.rlike(INVALID_IP_TEXT)).otherwise(
+        F.when(ip.isNotNull(), F.lit(False)))
+
+
+def _valid_session(session: Column) -> Column:
+    # exactly 12 characters, all ASCII letters or digits (the anchored regex, without one)
+    return (F.length(session) == 12) & (F.length(F.translate(session, _ALNUM, "")) == 0)
 
 
 def batch_label_conditions(ts: Column) -> list[tuple[str, Column]]:
@@ -61,8 +82,8 @@ def batch_label_conditions(ts: Column) -> list[tuple[str, Column]]:
         "CORRUPT_LINE": ts.startswith(CORRUPT_PREFIX),
         "MALFORMED_TIMESTAMP": contains_any(ts, MALFORMED_TIMESTAMP_MARKS),
         # the reference matches this as a regex, so its dots match any character
-        "INVALID_IP_SRC": _s("src_ip").rlike(INVALID_IP_TEXT),
-        "INVALID_IP_DST": _s("dst_ip").rlike(INVALID_IP_TEXT),
+        "INVALID_IP_SRC": _invalid_ip(_s("src_ip")),
+        "INVALID_IP_DST": _invalid_ip(_s("dst_ip")),
         "NEGATIVE_BYTES": F.col("bytes").cast("string").try_cast("double") < F.lit(0),
         "NONNUMERIC_PORT_SRC": _bad_port(_s("src_port")),
         "NONNUMERIC_PORT_DST": _bad_port(_s("dst_port")),
@@ -75,18 +96,21 @@ def batch_label_conditions(ts: Column) -> list[tuple[str, Column]]:
         "MISSING_ACTION": is_blank(_s("action")),
         "MISSING_REASON": is_blank(_s("reason")),
         "MISSING_FIREWALL_ID": is_blank(_s("firewall_id")),
-        "INVALID_SESSION_ID": F.col("session_id").isNotNull()
-        & ~_s("session_id").rlike(r"\A[a-zA-Z0-9]{12}\z"),
+        "INVALID_SESSION_ID": F.col("session_id").isNotNull() & ~_valid_session(_s("session_id")),
         "MISSING_RULE_ID": F.col("rule_id").isNull(),
     }
     return [(name, conds[name]) for name in LABEL_NAMES]
 
 
-def api_label_conditions() -> list[tuple[str, Column]]:
-    """The 10 API-profile conditions (null-safe: missing text counts as '')."""
-    ts = F.coalesce(_s("timestamp"), F.lit(""))
-    src = F.coalesce(_s("src_ip"), F.lit(""))
-    dst = F.coalesce(_s("dst_ip"), F.lit(""))
+def api_label_conditions(ts: Column | None = None, src: Column | None = None,
+                         dst: Column | None = None) -> list[tuple[str, Column]]:
+    """The 10 API-profile conditions (null-safe: missing text counts as '').
+
+    ``ts``/``src``/``dst`` may be given as already null-to-'' columns.
+    """
+    ts = F.coalesce(_s("timestamp"), F.lit("")) if ts is None else ts
+    src = F.coalesce(_s("src_ip"), F.lit("")) if src is None else src
+    dst = F.coalesce(_s("dst_ip"), F.lit("")) if dst is None else dst
     conds = {
         "CORRUPT_LINE": ts.contains(CORRUPT_PREFIX),
         "MALFORMED_TIMESTAMP": contains_any(ts, MALFORMED_TIMESTAMP_MARKS),
@@ -112,17 +136,29 @@ def join_labels(conditions: list[tuple[str, Column]]) -> Column:
     return F.nullif(F.concat_ws("|", *label_columns(conditions)), F.lit(""))
 
 
-def is_attack(reason: Column | None = None, flags: Column | None = None) -> Column:
-    """Any attack phrase in reason OR any marker in flags (three-valued)."""
+def is_attack(reason: Column | None = None, flags: Column | None = None, lowered: bool = False) -> Column:
+    """Any attack phrase in reason OR any marker in flags, case-insensitive (three-valued).
+
+    With ``lowered=True`` the inputs are already lower-cased columns, so each
+    phrase is a plain byte search on them.
+    """
     reason = _s("reason") if reason is None else reason
     flags = _s("flags") if flags is None else flags
+    if lowered:
+        return contains_any(reason, [p.lower() for p in ATTACK_REASON_PATTERNS], method="contains") | contains_any(
+            flags, [p.lower() for p in ATTACK_FLAG_PATTERNS], method="contains")
     return contains_any(reason, ATTACK_REASON_PATTERNS, ignore_case=True) | contains_any(
         flags, ATTACK_FLAG_PATTERNS, ignore_case=True
     )
 
 
-def is_attack_api() -> Column:
-    """P8 as the API evaluates it: missing text is '' so the result is never null."""
+def is_attack_api(reason_lc: Column | None = None, flags_lc: Column | None = None) -> Column:
+    """P8 as the API evaluates it: missing text is '' so the result is never null.
+
+    Pass lower-cased, null-to-'' columns to use plain byte searches.
+    """
+    if reason_lc is not None and flags_lc is not None:
+        return is_attack(reason_lc, flags_lc, lowered=True)
     return F.coalesce(
         is_attack(F.coalesce(_s("reason"), F.lit("")), F.coalesce(_s("flags"), F.lit(""))),
         F.lit(False),
@@ -211,11 +247,12 @@ def severity_batch(log_type: Column, reason: Column, flags: Column, action: Colu
     )
 
 
-def severity_api(log_type: Column, bug_type: Column) -> Column:
-    """P16 on raw columns."""
-    reason = F.lower(F.coalesce(_s("reason"), F.lit("")))
-    flags = F.upper(F.coalesce(_s("flags"), F.lit("")))
-    action = F.upper(F.coalesce(_s("action"), F.lit("")))
+def severity_api(log_type: Column, bug_type: Column, reason: Column | None = None, flags: Column | None = None,
+                 action: Column | None = None) -> Column:
+    """P16 on raw columns (or on given lower-cased reason / upper-cased flags and action)."""
+    reason = F.lower(F.coalesce(_s("reason"), F.lit(""))) if reason is None else reason
+    flags = F.upper(F.coalesce(_s("flags"), F.lit(""))) if flags is None else flags
+    action = F.upper(F.coalesce(_s("action"), F.lit(""))) if action is None else action
     attack_sev = (
         F.when(contains_any(reason, HIGH_SEVERITY_PHRASES) | contains_any(flags, HIGH_SEVERITY_FLAGS), F.lit("High"))
         .when(contains_any(reason, MEDIUM_SEVERITY_PHRASES) | contains_any(flags, MEDIUM_SEVERITY_FLAGS), F.lit("Medium"))
@@ -247,7 +284,7 @@ def attack_type_batch(log_type: Column, reason_lower: Column) -> Column:
     return F.when(log_type == "Attack", attack_type_of(reason_lower, F.lit(None).cast("string")))
 
 
-def attack_type_api(attack: Column) -> Column:
+def attack_type_api(attack: Column, reason: Column | None = None) -> Column:
     """Whenever the attack test holds (even for Bug rows); fallback other_attack."""
-    reason = F.lower(F.coalesce(_s("reason"), F.lit("")))
+    reason = F.lower(F.coalesce(_s("reason"), F.lit(""))) if reason is None else reason
     return F.when(attack, attack_type_of(reason, F.lit(OTHER_ATTACK)))

@@ -50,19 +50,42 @@ def with_bug_type(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame:
     return df.withColumn("bug_type", rules.join_labels(conds))
 
 
+_TS_NORM = "_ts_norm"
+
+
 def classify_records(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame:
-    """P2 + P6-P10: normalised timestamp, ``bug_type`` and ``log_type``."""
+    """P2 + P6-P10: normalised timestamp, ``bug_type`` and ``log_type``.
+
+    Three projections: (1) the normalised timestamp, (2) one boolean per
+    label plus the attack test, (3) label text, severity tier and class from
+    those booleans. Each rule is evaluated once per record: building the
+    outputs straight from the conditions would re-evaluate them inside CASE
+    branches and OR tails, where common-subexpression elimination cannot
+    reach. The optimizer keeps the stages apart because every boolean is
+    used more than once.
+    """
     _check_mode(timestamp_mode)
-    conds = rules.batch_label_conditions(_rule_timestamp(timestamp_mode))
-    staged = df.withColumns({
-        "bug_type": rules.join_labels(conds),
-        BUG_TIER: rules.tier_from_conditions(conds),
-        "_is_attack": rules.is_attack(),
+    with_ts = df.withColumns({
+        _TS_NORM: normalize_timestamp(F.col("timestamp").cast("string")),
+        "_reason_lc": F.lower(F.col("reason").cast("string")),
+        "_flags_lc": F.lower(F.col("flags").cast("string")),
+    })
+    rule_ts = F.col(_TS_NORM) if timestamp_mode == "parsed" else F.col("timestamp").cast("string")
+    conds = rules.batch_label_conditions(rule_ts)
+    flag_cols = {f"_l{i}": F.coalesce(c, F.lit(False)) for i, (_, c) in enumerate(conds)}
+    attack = rules.is_attack(F.col("_reason_lc"), F.col("_flags_lc"), lowered=True)
+    flagged = with_ts.withColumns({**flag_cols, "_is_attack": attack})
+    stored = [(name, F.col(f"_l{i}")) for i, (name, _) in enumerate(conds)]
+    labelled = flagged.withColumns({
+        "bug_type": rules.join_labels(stored),
+        BUG_TIER: rules.tier_from_conditions(stored),
     })
     return (
-        staged.withColumn("log_type", rules.classify_tier(F.col(BUG_TIER), F.col("_is_attack")))
-        .withColumn("timestamp", normalize_timestamp(F.col("timestamp").cast("string")))
-        .drop("_is_attack")
+        labelled.withColumns({
+            "log_type": rules.classify_tier(F.col(BUG_TIER), F.col("_is_attack")),
+            "timestamp": F.col(_TS_NORM),
+        })
+        .drop("_is_attack", _TS_NORM, "_reason_lc", "_flags_lc", *flag_cols)
     )
 
 
@@ -106,17 +129,31 @@ def drop_corrupt(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(F.col("bug_type"), F.lit("")).contains("CORRUPT_LINE"))
 
 
+_API_INPUTS = ("_ts_s", "_src_s", "_dst_s", "_r_l", "_f_l", "_f_u", "_a_u")
+
+
 def analyze_api(df: DataFrame) -> DataFrame:
     """The API-profile analyser as a whole-frame transform.
 
     Adds ``log_type, bug_type, attack_type, severity``; input columns pass
-    through untouched.
+    through untouched. Staged like ``classify_records``: normalised text
+    once, then one boolean per label, then the outputs.
     """
-    conds = rules.api_label_conditions()
-    staged = df.withColumns({
-        "bug_type": rules.join_labels(conds),
-        "_is_attack": rules.is_attack_api(),
+    blank = F.lit("")
+
+    def txt(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), blank)
+
+    base = df.withColumns({
+        "_ts_s": txt("timestamp"), "_src_s": txt("src_ip"), "_dst_s": txt("dst_ip"),
+        "_r_l": F.lower(txt("reason")), "_f_l": F.lower(txt("flags")),
+        "_f_u": F.upper(txt("flags")), "_a_u": F.upper(txt("action")),
     })
+    conds = rules.api_label_conditions(F.col("_ts_s"), F.col("_src_s"), F.col("_dst_s"))
+    flag_cols = {f"_l{i}": F.coalesce(c, F.lit(False)) for i, (_, c) in enumerate(conds)}
+    flagged = base.withColumns({**flag_cols, "_is_attack": rules.is_attack_api(F.col("_r_l"), F.col("_f_l"))})
+    stored = [(name, F.col(f"_l{i}")) for i, (name, _) in enumerate(conds)]
+    staged = flagged.withColumn("bug_type", rules.join_labels(stored))
     staged = staged.withColumn(
         "log_type",
         F.when(F.col("bug_type").isNotNull(), F.lit("Bug"))
@@ -124,9 +161,10 @@ def analyze_api(df: DataFrame) -> DataFrame:
         .otherwise(F.lit("Normal")),
     )
     return staged.withColumns({
-        "attack_type": rules.attack_type_api(F.col("_is_attack")),
-        "severity": rules.severity_api(F.col("log_type"), F.col("bug_type")),
-    }).drop("_is_attack")
+        "attack_type": rules.attack_type_api(F.col("_is_attack"), F.col("_r_l")),
+        "severity": rules.severity_api(F.col("log_type"), F.col("bug_type"), F.col("_r_l"), F.col("_f_u"),
+                                       F.col("_a_u")),
+    }).drop("_is_attack", *_API_INPUTS, *flag_cols)
 
 
 CURATED_COLUMNS = (
