@@ -7,6 +7,8 @@ DuckDB oracle. Braces are doubled because the text is a ``str.format`` template.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,16 +75,34 @@ FW_COLUMNS = (
 )
 
 
+_FRAMES: dict = {}
+
+
+def _derived(spark: SparkSession, sf_dir: str, kind: str, template: str) -> DataFrame:
+    """The derived frame, planned once per session and source file (like a registered view)."""
+    ensure_utc(spark)
+    src = os.path.join(sf_dir, "events.parquet")
+    try:
+        st = os.stat(src)
+        key = (id(spark), kind, os.path.abspath(sf_dir), st.st_size, st.st_mtime_ns)
+    except OSError:
+        key = None
+    if key is not None and key in _FRAMES:
+        return _FRAMES[key]
+    df = spark.sql(template, events=read_table(spark, sf_dir, "events"))
+    if key is not None:
+        _FRAMES[key] = df
+    return df
+
+
 def fw_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Firewall records derived from ``events`` (one per event, every rule exercised)."""
-    ensure_utc(spark)
-    return spark.sql(FW_RAW_TEMPLATE, events=read_table(spark, sf_dir, "events"))
+    return _derived(spark, sf_dir, "fw_raw", FW_RAW_TEMPLATE)
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSONL lines derived from ``events`` (``value`` column), with re-sent versions."""
-    ensure_utc(spark)
-    return spark.sql(LOG_LINES_TEMPLATE, events=read_table(spark, sf_dir, "events"))
+    return _derived(spark, sf_dir, "log_lines", LOG_LINES_TEMPLATE)
 
 
 def cursor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,31 @@ Classification is row-local: the whole flow is a single narrow projection
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.timefmt import normalize_timestamp
 
+_EXPRS: dict = {}
+
+
+def _memo(key, build):
+    """Build a set of rule expressions once per SparkContext and reuse it.
+
+    The expressions only reference columns by name (unresolved), so the
+    same trees serve every DataFrame; this saves hundreds of driver-to-JVM
+    calls per query plan.
+    """
+    sc = SparkContext._active_spark_context
+    token = (id(sc), id(getattr(sc, "_jsc", None))) if sc is not None else None
+    k = (token, key)
+    if k not in _EXPRS:
+        _EXPRS[k] = build()
+    return _EXPRS[k]
+
+
 TIMESTAMP_MODES = ("parsed", "raw")
 # internal column: bug severity tier carried from labelling to scoring
 BUG_TIER = "_bug_tier"
@@ -53,65 +72,70 @@ def with_bug_type(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame:
 _TS_NORM = "_ts_norm"
 
 
-def classify_records(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame:
-    """P2 + P6-P10: normalised timestamp, ``bug_type`` and ``log_type``.
-
-    Three projections: (1) the normalised timestamp, (2) one boolean per
-    label plus the attack test, (3) label text, severity tier and class from
-    those booleans. Each rule is evaluated once per record: building the
-    outputs straight from the conditions would re-evaluate them inside CASE
-    branches and OR tails, where common-subexpression elimination cannot
-    reach. The optimizer keeps the stages apart because every boolean is
-    used more than once.
-    """
-    _check_mode(timestamp_mode)
-    with_ts = df.withColumns({
+def _classify_stages(timestamp_mode: str):
+    s1 = {
         _TS_NORM: normalize_timestamp(F.col("timestamp").cast("string")),
         "_reason_lc": F.lower(F.col("reason").cast("string")),
         "_flags_lc": F.lower(F.col("flags").cast("string")),
-    })
+    }
     rule_ts = F.col(_TS_NORM) if timestamp_mode == "parsed" else F.col("timestamp").cast("string")
     conds = rules.batch_label_conditions(rule_ts)
     flag_cols = {f"_l{i}": F.coalesce(c, F.lit(False)) for i, (_, c) in enumerate(conds)}
-    attack = rules.is_attack(F.col("_reason_lc"), F.col("_flags_lc"), lowered=True)
-    flagged = with_ts.withColumns({**flag_cols, "_is_attack": attack})
+    s2 = {**flag_cols, "_is_attack": rules.is_attack(F.col("_reason_lc"), F.col("_flags_lc"), lowered=True)}
     stored = [(name, F.col(f"_l{i}")) for i, (name, _) in enumerate(conds)]
-    labelled = flagged.withColumns({
-        "bug_type": rules.join_labels(stored),
-        BUG_TIER: rules.tier_from_conditions(stored),
-    })
-    return (
-        labelled.withColumns({
-            "log_type": rules.classify_tier(F.col(BUG_TIER), F.col("_is_attack")),
-            "timestamp": F.col(_TS_NORM),
-        })
-        .drop("_is_attack", _TS_NORM, "_reason_lc", "_flags_lc", *flag_cols)
-    )
+    s3 = {"bug_type": rules.join_labels(stored), BUG_TIER: rules.tier_from_conditions(stored)}
+    s4 = {"log_type": rules.classify_tier(F.col(BUG_TIER), F.col("_is_attack")), "timestamp": F.col(_TS_NORM)}
+    drops = ["_is_attack", _TS_NORM, "_reason_lc", "_flags_lc", *flag_cols]
+    return s1, s2, s3, s4, drops
+
+
+def classify_records(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame:
+    """P2 + P6-P10: normalised timestamp, ``bug_type`` and ``log_type``.
+
+    Staged projections: (1) the normalised timestamp and lower-cased text,
+    (2) one boolean per label plus the attack test, (3) label text and
+    severity tier from those booleans, (4) the class. Each rule is evaluated
+    once per record: building the outputs straight from the conditions would
+    re-evaluate them inside CASE branches and OR tails, where common
+    subexpression elimination cannot reach. The optimizer keeps the stages
+    apart because every boolean is used more than once.
+    """
+    _check_mode(timestamp_mode)
+    s1, s2, s3, s4, drops = _memo(("classify", timestamp_mode), lambda: _classify_stages(timestamp_mode))
+    return df.withColumns(s1).withColumns(s2).withColumns(s3).withColumns(s4).drop(*drops)
 
 
 def normalize_text(df: DataFrame) -> DataFrame:
     """Overwrite reason (lower), flags/action/protocol (upper); nulls become ''."""
+    return df.withColumns(_memo(("normalize",), _normalize_exprs))
+
+
+def _normalize_exprs() -> dict:
     blank = F.lit("")
-    return df.withColumns({
+    return {
         "log_type": F.coalesce(F.col("log_type"), F.lit("NORMAL")),
         "reason": F.lower(F.coalesce(F.col("reason").cast("string"), blank)),
         "flags": F.upper(F.coalesce(F.col("flags").cast("string"), blank)),
         "action": F.upper(F.coalesce(F.col("action").cast("string"), blank)),
         "bug_type": F.coalesce(F.col("bug_type"), blank),
         "protocol": F.upper(F.coalesce(F.col("protocol").cast("string"), blank)),
-    })
+    }
 
 
 def score_records(df: DataFrame) -> DataFrame:
     """P12 + P13 on a normalised frame (uses the labelling tier when present)."""
-    lt = F.col("log_type")
-    tier = F.col(BUG_TIER) if BUG_TIER in df.columns else None
-    out = df.withColumns({
-        "severity": rules.severity_batch(lt, F.col("reason"), F.col("flags"), F.col("action"), F.col("bug_type"),
-                                         tier),
-        "attack_type": rules.attack_type_batch(lt, F.col("reason")),
-    })
-    return out.drop(BUG_TIER)
+    has_tier = BUG_TIER in df.columns
+
+    def build():
+        lt = F.col("log_type")
+        tier = F.col(BUG_TIER) if has_tier else None
+        return {
+            "severity": rules.severity_batch(lt, F.col("reason"), F.col("flags"), F.col("action"),
+                                             F.col("bug_type"), tier),
+            "attack_type": rules.attack_type_batch(lt, F.col("reason")),
+        }
+
+    return df.withColumns(_memo(("score", has_tier), build)).drop(BUG_TIER)
 
 
 def analyze_batch(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame:
@@ -129,42 +153,42 @@ def drop_corrupt(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(F.col("bug_type"), F.lit("")).contains("CORRUPT_LINE"))
 
 
-_API_INPUTS = ("_ts_s", "_src_s", "_dst_s", "_r_l", "_f_l", "_f_u", "_a_u")
-
-
-def analyze_api(df: DataFrame) -> DataFrame:
-    """The API-profile analyser as a whole-frame transform.
-
-    Adds ``log_type, bug_type, attack_type, severity``; input columns pass
-    through untouched. Staged like ``classify_records``: normalised text
-    once, then one boolean per label, then the outputs.
-    """
+def _api_stages():
     blank = F.lit("")
 
     def txt(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), blank)
 
-    base = df.withColumns({
+    s1 = {
         "_ts_s": txt("timestamp"), "_src_s": txt("src_ip"), "_dst_s": txt("dst_ip"),
         "_r_l": F.lower(txt("reason")), "_f_l": F.lower(txt("flags")),
         "_f_u": F.upper(txt("flags")), "_a_u": F.upper(txt("action")),
-    })
+    }
     conds = rules.api_label_conditions(F.col("_ts_s"), F.col("_src_s"), F.col("_dst_s"))
     flag_cols = {f"_l{i}": F.coalesce(c, F.lit(False)) for i, (_, c) in enumerate(conds)}
-    flagged = base.withColumns({**flag_cols, "_is_attack": rules.is_attack_api(F.col("_r_l"), F.col("_f_l"))})
+    s2 = {**flag_cols, "_is_attack": rules.is_attack_api(F.col("_r_l"), F.col("_f_l"))}
     stored = [(name, F.col(f"_l{i}")) for i, (name, _) in enumerate(conds)]
-    staged = flagged.withColumn("bug_type", rules.join_labels(stored))
-    staged = staged.withColumn(
-        "log_type",
-        F.when(F.col("bug_type").isNotNull(), F.lit("Bug"))
-        .when(F.col("_is_attack"), F.lit("Attack"))
-        .otherwise(F.lit("Normal")),
-    )
-    return staged.withColumns({
+    s3 = {"bug_type": rules.join_labels(stored)}
+    s4 = {"log_type": F.when(F.col("bug_type").isNotNull(), F.lit("Bug"))
+          .when(F.col("_is_attack"), F.lit("Attack")).otherwise(F.lit("Normal"))}
+    s5 = {
         "attack_type": rules.attack_type_api(F.col("_is_attack"), F.col("_r_l")),
         "severity": rules.severity_api(F.col("log_type"), F.col("bug_type"), F.col("_r_l"), F.col("_f_u"),
                                        F.col("_a_u")),
-    }).drop("_is_attack", *_API_INPUTS, *flag_cols)
+    }
+    drops = ["_is_attack", *s1, *flag_cols]
+    return s1, s2, s3, s4, s5, drops
+
+
+def analyze_api(df: DataFrame) -> DataFrame:
+    """The API-profile analyser as a whole-frame transform.
+
+    Adds ``log_type, bug_type, attack_type, severity``; input columns pass
+    through untouched. Staged like ``classify_records``: normalised text
+    once, then one boolean per label, then the outputs.
+    """
+    s1, s2, s3, s4, s5, drops = _memo(("api",), _api_stages)
+    return df.withColumns(s1).withColumns(s2).withColumns(s3).withColumns(s4).withColumns(s5).drop(*drops)
 
 
 CURATED_COLUMNS = (
