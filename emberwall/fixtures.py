@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import ensure_utc, read_table
+from .session import ensure_utc, read_table, session_token
 
 FW_RAW_TEMPLATE = """
 SELECT
@@ -82,9 +82,10 @@ def _derived(spark: SparkSession, sf_dir: str, kind: str, template: str) -> Data
     """The derived frame, planned once per session and source file (like a registered view)."""
     ensure_utc(spark)
     src = os.path.join(sf_dir, "events.parquet")
+    token = session_token(spark)
     try:
         st = os.stat(src)
-        key = (id(spark), kind, os.path.abspath(sf_dir), st.st_size, st.st_mtime_ns)
+        key = (token, kind, os.path.abspath(sf_dir), st.st_size, st.st_mtime_ns) if token else None
     except OSError:
         key = None
     if key is not None and key in _FRAMES:

@@ -6,11 +6,11 @@ Classification is row-local: the whole flow is a single narrow projection
 
 from __future__ import annotations
 
-from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from ..session import session_token
 from ..functions.timefmt import normalize_timestamp
 
 _EXPRS: dict = {}
@@ -23,8 +23,9 @@ def _memo(key, build):
     same trees serve every DataFrame; this saves hundreds of driver-to-JVM
     calls per query plan.
     """
-    sc = SparkContext._active_spark_context
-    token = (id(sc), id(getattr(sc, "_jsc", None))) if sc is not None else None
+    token = session_token()
+    if token is None:
+        return build()
     k = (token, key)
     if k not in _EXPRS:
         _EXPRS[k] = build()

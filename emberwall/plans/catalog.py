@@ -25,7 +25,7 @@ from ..operators import classify as C
 from ..operators import dedup as D
 from ..operators import reshape as R
 from ..operators import search as S
-from ..session import ensure_utc, read_table, shared_dir
+from ..session import ensure_utc, read_table, session_token, shared_dir
 from ..sinks import files as K
 from ..sources import csv as CSV
 from ..sources import jsonl as J
@@ -91,7 +91,7 @@ def stored_curated(spark, d):
     src = os.path.join(d, "events.parquet")
     try:
         st = os.stat(src)
-        key = (os.path.abspath(d), st.st_size, st.st_mtime_ns)
+        key = (session_token(spark), os.path.abspath(d), st.st_size, st.st_mtime_ns)
     except OSError:
         key = None
     path = _STORED.get(key) if key else None

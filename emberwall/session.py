@@ -45,6 +45,19 @@ def build_session(master: str | None = None, app: str = "emberwall", shuffle_par
     return spark
 
 
+def session_token(spark: SparkSession | None = None):
+    """Identity of the running application (None when it cannot be told), for per-session caches."""
+    try:
+        from pyspark import SparkContext
+
+        sc = spark.sparkContext if spark is not None else SparkContext._active_spark_context
+        if sc is None:
+            return None
+        return (sc.applicationId, id(sc._jsc), id(spark) if spark is not None else None)
+    except Exception:  # noqa: BLE001 - remote sessions have no context handle
+        return None
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """All instants are handled in UTC, as the reference does."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
