@@ -25,9 +25,16 @@ def normalize_timestamp(ts: Column) -> Column:
     return F.date_format(parsed, OUTPUT_TS_FORMAT)
 
 
-def parse_iso(ts: Column) -> Column:
-    """ISO-8601 with ``Z``, an offset or no zone (taken as UTC); bad -> null."""
+def parse_iso(ts: Column, strict: bool = False) -> Column:
+    """ISO-8601 with ``Z``, an offset or no zone (taken as UTC); bad -> null.
+
+    ``strict=True`` fails the query on a bad value (the reference's behaviour,
+    with ANSI mode on); null input stays null.
+    """
     text = ts.cast("string")
+    if strict:
+        return F.when(text.isNotNull(), F.to_timestamp(F.when(text.rlike(_ISO_DATE_PREFIX), text)
+                                                         .otherwise(F.concat(F.lit("invalid:"), text))))
     return F.when(text.rlike(_ISO_DATE_PREFIX), F.try_to_timestamp(text))
 
 

@@ -129,3 +129,14 @@ def test_relative_time(spark):
                                 ("2024-01-14 02:00:00",), ("2024-01-10 00:00:00",), (None,)], "t string")
     out = df.select(relative_time(F.to_timestamp("t"), F.to_timestamp(F.lit("2024-01-15 00:00:00"))).alias("a"))
     assert [r["a"] for r in out.collect()] == ["Just now", "Just now", "45m ago", "22h ago", "2024-01-10", "—"]
+
+
+def test_parse_iso_lenient_and_strict(spark):
+    from emberwall.functions.timefmt import parse_iso
+    df = spark.createDataFrame([("2024-01-05T10:00:00+02:00",), ("2024-01-05T10:00:00Z",), ("bad",), (None,)], "t string")
+    got = [r["p"] for r in df.select(F.date_format(parse_iso(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("p")).collect()]
+    assert got == ["2024-01-05 08:00:00", "2024-01-05 10:00:00", None, None]
+    good = df.where("t <> 'bad'").select(parse_iso(F.col("t"), strict=True).alias("p"))
+    assert good.where("p IS NOT NULL").count() == 2
+    with pytest.raises(Exception):
+        df.select(parse_iso(F.col("t"), strict=True).alias("p")).collect()

@@ -52,3 +52,24 @@ def test_rate_limit_admits_one_file_per_batch(spark):
                           max_files_per_trigger=1)
     prog = ST.stream_progress(spark, q)
     assert prog.where("num_input_rows > 0").count() == 3
+
+
+def test_progress_listener_snapshots(spark):
+    from emberwall.streaming.progress import ProgressCollector
+
+    src = shared_dir(spark, "t-src")
+    log_lines(spark, SF001).repartition(2).write.text(src)
+    snaps = []
+    collector = ProgressCollector(every_docs=500, on_snapshot=snaps.append)
+    spark.streams.addListener(collector)
+    try:
+        q = ST.stream_landing(spark, src, shared_dir(spark, "t-land"), shared_dir(spark, "t-ckpt"),
+                              max_files_per_trigger=1)
+        qid = str(q.id)
+        assert collector.wait_for(qid, 2)
+        total = sum(b[2] for b in collector.batches if b[0] == qid)
+        assert total == log_lines(spark, SF001).count()
+        assert snaps and snaps[-1]["total_docs"] == total
+        assert collector.to_frame(spark, qid).first()["total_docs"] == total
+    finally:
+        spark.streams.removeListener(collector)
