@@ -523,7 +523,7 @@ def q_top_suspicious_ips(spark, d):
 
 def _stored_rollups(spark, d):
     base = shared_dir(spark, "rollups")
-    K.write_rollup_tables(curated(spark, d), base)
+    K.write_rollup_tables(stored_curated(spark, d), base)
     return base
 
 
@@ -798,7 +798,7 @@ def q_stream_classify(spark, d):
 def q_stream_hourly_rollup(spark, d):
     src = _source_files(spark, d, "stream-fw", _fw_json_lines(spark, d))
     table = shared_dir(spark, "stream-rollup")
-    ST.stream_hourly_rollup(spark, src, table, shared_dir(spark, "ckpt"), max_files_per_trigger=1)
+    ST.stream_hourly_rollup(spark, src, table, shared_dir(spark, "ckpt"), max_files_per_trigger=2)
     return _rounded_rollup(ST.read_hourly_rollup(spark, table))
 
 

@@ -101,17 +101,6 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/emberwall/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for helpers that use the local file API."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -90,6 +90,12 @@ def stream_classify(spark: SparkSession, source: str, out: str, checkpoint: str,
 _ROLLUP_KEYS = ("hour_timestamp", "firewall_id", "protocol", "action")
 
 
+_PARTIALS_SCHEMA = (
+    "hour_timestamp timestamp, firewall_id string, protocol string, action string, events bigint, "
+    "bytes bigint, dur_sum bigint, dur_n bigint, kind string, ip string, batch_id bigint"
+)
+
+
 def rollup_partials(curated: DataFrame) -> DataFrame:
     """Per-batch pieces of the hourly rollup: measures plus distinct endpoint addresses.
 
@@ -119,15 +125,13 @@ def rollup_partials(curated: DataFrame) -> DataFrame:
 
 
 def write_partials(batch: DataFrame, batch_id: int, table: str) -> None:
-    """Idempotent: a replayed batch overwrites only its own ``batch_id`` folder."""
-    (rollup_partials(batch).withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(table))
+    """Idempotent: a replayed batch overwrites only its own ``batch_id=N`` folder."""
+    rollup_partials(batch).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
 
 def read_hourly_rollup(spark: SparkSession, table: str) -> DataFrame:
     """ST6 read side: exact hourly rollup from the accumulated partials."""
-    p = spark.read.parquet(table)
+    p = spark.read.schema(_PARTIALS_SCHEMA).parquet(table)
     is_m = F.col("kind") == "m"
     return p.groupBy(*_ROLLUP_KEYS).agg(
         F.sum(F.when(is_m, F.col("events"))).cast("bigint").alias("total_events"),
@@ -211,15 +215,13 @@ def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def write_window_updates(batch: DataFrame, batch_id: int, table: str) -> None:
-    """Update-mode rows of one micro-batch, tagged with the batch id (idempotent per id)."""
-    (batch.withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(table))
+    """Update-mode rows of one micro-batch, in its own ``batch_id=N`` folder (idempotent per id)."""
+    batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
 
 def read_window_rollup(spark: SparkSession, table: str) -> DataFrame:
     """The newest state of every window key across all update batches."""
-    rows = spark.read.parquet(table)
+    rows = spark.read.option("basePath", table).parquet(table)
     keys = ["hour_timestamp", "firewall_id", "protocol", "action"]
     vals = [c for c in rows.columns if c not in keys and c != "batch_id"]
     best = F.max(F.struct("batch_id", *vals)).alias("b")
