@@ -9,7 +9,7 @@ before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import TIMELINE_HOURS, TIMELINE_TAIL, TOP_K
@@ -232,10 +232,10 @@ def time_span(df: DataFrame, column: str = "timestamp") -> DataFrame:
 def share_of_total(counts: DataFrame, count_col: str = "count", digits: int = 1) -> DataFrame:
     """Each row's share of the total, percent with one decimal.
 
-    Meant for a breakdown (a handful of rows): the global window gathers its
-    input into one partition, which is only safe on an already-aggregated frame.
+    The total is a scalar subquery (partial sums, one value back), so the
+    rows are never gathered into one partition, however many groups there are.
     """
-    total = F.sum(count_col).over(Window.partitionBy())
+    total = counts.agg(F.sum(count_col)).scalar()
     denom = F.when(total == 0, F.lit(1)).otherwise(total)
     return counts.withColumn("pct", F.round(F.col(count_col) * 100.0 / denom, digits))
 
@@ -243,10 +243,10 @@ def share_of_total(counts: DataFrame, count_col: str = "count", digits: int = 1)
 def scaled_timeline(timeline: DataFrame, tail: int = TIMELINE_TAIL) -> DataFrame:
     """W3 + T5: the last ``tail`` points, each scaled to the maximum of all points.
 
-    ``timeline`` is A3's output (at most 168 rows), so the global window is
-    bounded by construction.
+    The maximum is a scalar subquery over the whole timeline (not only the
+    points shown), as the dashboard scales it.
     """
-    mx = F.max("total").over(Window.partitionBy())
+    mx = timeline.agg(F.max("total")).scalar()
     scaled = timeline.withColumn(
         "height_pct", F.round(F.col("total") * 100.0 / F.greatest(mx, F.lit(1)), 4)
     )

@@ -18,8 +18,9 @@ def header_groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """Group the files under ``path`` (a glob or folder) by their header line.
 
     Distributed: each file's first split is scanned and the first line of
-    the split at offset 0 is its header; only one (header, paths) row per
-    distinct header reaches the driver.
+    the split at offset 0 is its header. One ``(path, header)`` row per file
+    is streamed to the driver, which holds the file listing anyway; no task
+    ever gathers the paths of a group.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -28,8 +29,10 @@ def header_groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
         F.monotonically_increasing_id().alias("pos"),
     )
     firsts = lines.where(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "pos").alias("header"))
-    rows = firsts.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    return {r["header"]: list(r["paths"]) for r in rows}
+    groups: dict[str, list[str]] = {}
+    for r in firsts.toLocalIterator():
+        groups.setdefault(r["header"], []).append(r["path"])
+    return {h: sorted(p) for h, p in groups.items()}
 
 
 def header_columns(header: str, sep: str = ",") -> list[str]:
