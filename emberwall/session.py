@@ -101,6 +101,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/emberwall/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def local_fs_path(path: str) -> str:
+    """A ``file:`` URI as a plain local path (for tests and local tooling)."""
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
