@@ -316,7 +316,7 @@ SELECT id, CASE WHEN timestamp IS NULL THEN '—'
 FROM curated""")
 def q_relative_time(spark, d):
     as_of = F.to_timestamp(F.lit(AS_OF))
-    return curated(spark, d).select("id", relative_time(F.col("timestamp"), as_of).alias("age"))
+    return stored_curated(spark, d).select("id", relative_time(F.col("timestamp"), as_of).alias("age"))
 
 
 @register("endpoint_label", f"""{WCU}
@@ -327,7 +327,7 @@ SELECT id,
     AS dst_endpoint
 FROM curated""")
 def q_endpoint_label(spark, d):
-    c = curated(spark, d)
+    c = stored_curated(spark, d)
     return c.select(
         "id",
         endpoint_label(F.col("src_ip"), F.col("src_port")).alias("src_endpoint"),
@@ -342,14 +342,14 @@ def q_preview(spark, d):
 
 @register("chronological_export")
 def q_chronological_export(spark, d):
-    return text_times(S.chronological_export(curated(spark, d)).select("id", "timestamp"))
+    return text_times(S.chronological_export(stored_curated(spark, d)).select("id", "timestamp"))
 
 
 @register("unpivot_endpoints", f"""{WCU}
 SELECT id, 'source' AS endpoint, src_ip AS ip, src_port AS port FROM curated
 UNION ALL SELECT id, 'destination', dst_ip, dst_port FROM curated""")
 def q_unpivot_endpoints(spark, d):
-    return R.unpivot_endpoints(curated(spark, d)).select("id", "endpoint", "ip", "port")
+    return R.unpivot_endpoints(stored_curated(spark, d)).select("id", "endpoint", "ip", "port")
 
 
 # ---- aggregations (A1-A15) ------------------------------------------------------------
@@ -365,17 +365,17 @@ _OVERVIEW_SQL = """count(*) AS total_logs,
 
 @register("count_logs", f"{WCU} SELECT count(*) AS count FROM curated")
 def q_count_logs(spark, d):
-    return A.count_logs(curated(spark, d))
+    return A.count_logs(stored_curated(spark, d))
 
 
 @register("overview", f"{WCU} SELECT {_OVERVIEW_SQL} FROM curated")
 def q_overview(spark, d):
-    return A.overview(curated(spark, d))
+    return A.overview(stored_curated(spark, d))
 
 
 @register("stats_by_firewall", f"{WCU} SELECT firewall_id, {_OVERVIEW_SQL} FROM curated GROUP BY firewall_id")
 def q_stats_by_firewall(spark, d):
-    return A.stats_by_firewall(curated(spark, d))
+    return A.stats_by_firewall(stored_curated(spark, d))
 
 
 TIMELINE_SQL = (f"SELECT coalesce({Q.fmt_ts('h')}, 'None') AS hour, total FROM ("
@@ -385,19 +385,19 @@ TIMELINE_SQL = (f"SELECT coalesce({Q.fmt_ts('h')}, 'None') AS hour, total FROM (
 
 @register("timeline_raw", f"{WCU} {TIMELINE_SQL}")
 def q_timeline_raw(spark, d):
-    return A.timeline_raw(curated(spark, d))
+    return A.timeline_raw(stored_curated(spark, d))
 
 
 @register("timeline_first", f"{WCU} {TIMELINE_SQL}")
 def q_timeline_first(spark, d):
-    return A.timeline_raw(curated(spark, d), latest=False)
+    return A.timeline_raw(stored_curated(spark, d), latest=False)
 
 
 @register("timeline_latest", f"{WCU} SELECT coalesce({Q.fmt_ts('h')}, 'None') AS hour, total FROM ("
           "SELECT date_trunc('hour', timestamp) AS h, count(*) AS total FROM curated "
           "GROUP BY 1 ORDER BY h DESC NULLS LAST LIMIT 168)")
 def q_timeline_latest(spark, d):
-    return A.timeline_raw(curated(spark, d), latest=True)
+    return A.timeline_raw(stored_curated(spark, d), latest=True)
 
 
 @register("timeline_split", f"""{WCU}
@@ -407,19 +407,19 @@ SELECT coalesce({Q.fmt_ts('h')}, 'None') AS hour, total, blocked, allowed FROM (
          count(*) FILTER (WHERE action IN ('ALLOW', 'ACCEPT')) AS allowed
   FROM curated GROUP BY 1 ORDER BY h ASC NULLS LAST LIMIT 168)""")
 def q_timeline_split(spark, d):
-    return A.timeline_split(curated(spark, d))
+    return A.timeline_split(stored_curated(spark, d))
 
 
 @register("timeline_tail", f"{WCU} SELECT * FROM ({TIMELINE_SQL}) ORDER BY hour DESC LIMIT 48")
 def q_timeline_tail(spark, d):
-    return A.timeline_tail(A.timeline_raw(curated(spark, d)))
+    return A.timeline_tail(A.timeline_raw(stored_curated(spark, d)))
 
 
 @register("scaled_timeline", f"""{WCU}
 SELECT hour, total, round(total * 100.0 / greatest(max(total) OVER (), 1), 4) AS height_pct
 FROM ({TIMELINE_SQL}) QUALIFY row_number() OVER (ORDER BY hour DESC) <= 48""")
 def q_scaled_timeline(spark, d):
-    return A.scaled_timeline(A.timeline_raw(curated(spark, d)))
+    return A.scaled_timeline(A.timeline_raw(stored_curated(spark, d)))
 
 
 def _breakdown_sql(col: str, source: str = "curated") -> str:
@@ -429,24 +429,24 @@ def _breakdown_sql(col: str, source: str = "curated") -> str:
 
 @register("actions", f"{WCU} {_breakdown_sql('action')}")
 def q_actions(spark, d):
-    return A.actions(curated(spark, d))
+    return A.actions(stored_curated(spark, d))
 
 
 @register("protocols", f"{WCU} {_breakdown_sql('protocol')}")
 def q_protocols(spark, d):
-    return A.protocols(curated(spark, d))
+    return A.protocols(stored_curated(spark, d))
 
 
 @register("severities", f"{WCU} {_breakdown_sql('severity')}")
 def q_severities(spark, d):
-    return A.severities(curated(spark, d))
+    return A.severities(stored_curated(spark, d))
 
 
 @register("share_of_total", f"""{WCU}
 SELECT action, count, round(count * 100.0 / CASE WHEN sum(count) OVER () = 0 THEN 1 ELSE sum(count) OVER () END, 1)
   AS pct FROM ({_breakdown_sql('action')})""")
 def q_share_of_total(spark, d):
-    return A.share_of_total(A.actions(curated(spark, d)))
+    return A.share_of_total(A.actions(stored_curated(spark, d)))
 
 
 HOURLY_SQL = f"""
@@ -465,7 +465,7 @@ def _rounded_rollup(df: DataFrame) -> DataFrame:
 
 @register("hourly_rollup", f"{WCU} {HOURLY_SQL}")
 def q_hourly_rollup(spark, d):
-    return _rounded_rollup(A.hourly_rollup(curated(spark, d)))
+    return _rounded_rollup(A.hourly_rollup(stored_curated(spark, d)))
 
 
 @register("timeline_rollup", f"""{WCU}
@@ -474,7 +474,7 @@ SELECT coalesce({Q.fmt_ts('h')}, 'None') AS hour, total FROM (
   WHERE timestamp IS NOT NULL AND firewall_id IS NOT NULL AND protocol IS NOT NULL AND action IS NOT NULL
   GROUP BY 1 ORDER BY h ASC NULLS LAST LIMIT 168)""")
 def q_timeline_rollup(spark, d):
-    c = curated(spark, d)
+    c = stored_curated(spark, d)
     return A.timeline_rollup(A.hourly_rollup(c), c)
 
 
@@ -500,25 +500,25 @@ FROM (
 
 @register("top_ports_build", f"{WCU} SELECT * REPLACE ({Q.fmt_ts('last_seen')} AS last_seen) FROM ({PORTS_SQL})")
 def q_top_ports_build(spark, d):
-    return text_times(A.top_ports_build(curated(spark, d)))
+    return text_times(A.top_ports_build(stored_curated(spark, d)))
 
 
 @register("suspicious_ips_build", f"{WCU} SELECT * REPLACE ({Q.fmt_ts('last_blocked')} AS last_blocked) "
           f"FROM ({SUSPICIOUS_SQL})")
 def q_suspicious_ips_build(spark, d):
-    return text_times(A.suspicious_ips_build(curated(spark, d)))
+    return text_times(A.suspicious_ips_build(stored_curated(spark, d)))
 
 
 @register("top_ports", f"{WCU} SELECT * REPLACE ({Q.fmt_ts('last_seen')} AS last_seen) FROM ({PORTS_SQL}) "
           "ORDER BY total_connections DESC, port, port_type, protocol LIMIT 50")
 def q_top_ports(spark, d):
-    return text_times(A.top_ports(A.top_ports_build(curated(spark, d))))
+    return text_times(A.top_ports(A.top_ports_build(stored_curated(spark, d))))
 
 
 @register("top_suspicious_ips", f"{WCU} SELECT * REPLACE ({Q.fmt_ts('last_blocked')} AS last_blocked) "
           f"FROM ({SUSPICIOUS_SQL}) ORDER BY blocked_count DESC, ip_address, ip_type LIMIT 50")
 def q_top_suspicious_ips(spark, d):
-    return text_times(A.top_suspicious_ips(A.suspicious_ips_build(curated(spark, d))))
+    return text_times(A.top_suspicious_ips(A.suspicious_ips_build(stored_curated(spark, d))))
 
 
 def _stored_rollups(spark, d):
