@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import cut_lineage, table
@@ -72,23 +73,23 @@ def _maybe_empty(sets: list[np.ndarray], coordinates: int) -> list[np.ndarray |
 def signatures(docs: DataFrame, id_col: str, text: str, size: int, coordinates: int) -> DataFrame:
     """(id, n, k1, k2, signature) of every row; a set without shingles has null keys and signature."""
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, held, rows = [], [], []
-            for s in shingle_sets(iter(batch["text"]), size):
+            for s in shingle_sets((x.as_py() for x in batch.column(1)), size):
                 keys.append((len(s), *_set_key(s)) if len(s) else (0, None, None))
                 held.append(s)
                 if len(s) >= _SLICE or len(held) >= 64:
                     rows += _maybe_empty(held, coordinates)
                     held = []
+            rows += _maybe_empty(held, coordinates)
             n, k1, k2 = zip(*keys, strict=True) if keys else ((), (), ())
-            out = pd.DataFrame({"n": n, "k1": pd.array(k1, "Int64"), "k2": pd.array(k2, "Int64")})
-            out["signature"] = pd.Series(rows + _maybe_empty(held, coordinates), dtype=object)
-            out.insert(0, "id", batch["id"].to_numpy())
-            yield out
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, k1, k2)), pa.array(rows, pa.list_(pa.int32()))],
+                names=["id", "n", "k1", "k2", "signature"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text].alias("text")).mapInPandas(
+    return docs.select(docs[id_col].alias("id"), docs[text].alias("text")).mapInArrow(
         each, f"id {kind}, n long, k1 long, k2 long, signature array<int>")
 
 
