@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from emberwall.session import shared_root
 
@@ -40,3 +40,15 @@ BROADCAST_ROWS = 50_000
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """``df`` (already computed, narrow) marked for broadcast if it is counted small, else as it is."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def numbered(df: DataFrame, *order: Column, into: str = "place") -> DataFrame:
+    """``df`` with 0, 1, 2, ... in the given order, sorted and counted without gathering the rows in one task."""
+    at = cut_lineage(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)
+    # one row per sorted partition, so this window sees as many rows as there are partitions
+    before = (at.groupBy(part.alias("__part")).agg(F.count("*").alias("__rows"))
+              .withColumn("__before", F.sum("__rows").over(Window.orderBy("__part")) - F.col("__rows")))
+    return (at.withColumn("__part", part).join(before, "__part")
+            .withColumn(into, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+            .drop("__at", "__part", "__rows", "__before"))

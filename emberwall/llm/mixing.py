@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import broadcast_if_small, cut_lineage, table, word_count
+from .common import broadcast_if_small, cut_lineage, numbered, table, word_count
 
 #: Ordered hash ranges per source in which the cut of a fractional repetition is located.
 HASH_BITS = 13
@@ -18,19 +18,6 @@ def _draw(docs: DataFrame, text: str, id_col: str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), docs[id_col], docs[text])
 
 
-def _numbered(sources: DataFrame) -> DataFrame:
-    """Sources with ``place`` = 0, 1, 2, ... by code point, null last, without gathering them in one task."""
-    one_based = cut_lineage(sources.orderBy(F.col("source").asc_nulls_last())
-                            .withColumn("at", F.monotonically_increasing_id()))
-    part = F.shiftright("at", 33)
-    # one row per sorted partition, so this window sees as many rows as there are partitions
-    offsets = (one_based.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
-               .withColumn("before", F.sum("rows").over(Window.orderBy("part")) - F.col("rows")))
-    return (one_based.withColumn("part", part).join(offsets, "part")
-            .withColumn("place", F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
-            .drop("at", "part", "rows", "before"))
-
-
 def source_targets(sizes: DataFrame, weights=(1, 2, 3), max_epochs: float = 3.0) -> DataFrame:
     """Target words of each source.
 
@@ -40,7 +27,8 @@ def source_targets(sizes: DataFrame, weights=(1, 2, 3), max_epochs: float = 3.0)
     source is above. Returns source, source_size, target. Sources without words
     get 0; an empty input gives no rows.
     """
-    totals = _numbered(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
+    # places by code point, null last
+    totals = numbered(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     totals = cut_lineage(totals.select(
         "source", "source_size", F.get(cycle, (F.col("place") % len(weights)).cast("int")).alias("weight"),
