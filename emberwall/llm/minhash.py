@@ -11,7 +11,8 @@ reach the threshold, and the survivors are confirmed on full shingle sets.
 
 Groups of copies: equal sets are one node. In a posting list all members are
 first compared with the least one; only lists whose members are then still in
-different components are joined pair by pair, across components.
+different components are joined pair by pair, across components, the long ones
+in blocks inside a task, so that no group is written out as its pairs.
 """
 
 from __future__ import annotations
@@ -31,6 +32,11 @@ COORDINATES = 64
 #: A pair at similarity 0.85 agrees in fewer than 40 of 64 coordinates once in 400,000 times.
 MATCHES = 40
 _SLICE = 1 << 15
+#: A longer posting list is not written out as pairs but compared in blocks, whose sides hold at most about so many
+#: nodes and shingles.
+SHORT_LIST = 16
+BLOCK_NODES = 1024
+BLOCK_SHINGLES = 1 << 20
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,16 +134,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch["xa"], batch["xb"], strict=True):
-                x, y = np.asarray(x).view(np.uint64), np.asarray(y).view(np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                if 100 * len(small) < percent * len(large):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                keep.append(100 * both >= percent * (len(small) + len(large) - both))
+            keep = [_similar(np.asarray(x).view(np.uint64), np.asarray(y).view(np.uint64), percent)
+                    for x, y in zip(batch["xa"], batch["xb"], strict=True)]
             yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
     xa = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
@@ -161,6 +159,78 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, size: i
     return found.mapInPandas(each, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(small) + len(large) - both)
+
+
+def _block_links(block: pd.DataFrame, matches: int, percent: int) -> list[tuple[int, int]]:
+    """Links between the components met in one block (or pair of blocks) of a long list, as few as join them.
+
+    A pair is looked at in the list of its smallest common token only.
+    """
+    nodes, side = block["node"].to_numpy(), block["side"].to_numpy()
+    one, two, token = (int(block[c].iloc[0]) for c in ("one", "two", "token"))
+    signed = np.stack(block["signature"].to_numpy())
+    sets = [np.asarray(x).view(np.uint64) for x in block["shingles"]]
+    lower = [[t for t in row if t < token] for row in block["prefix"]]
+    column = {t: i for i, t in enumerate(sorted({t for row in lower for t in row}))}
+    earlier = np.zeros((len(nodes), max(1, len(column))), np.float32)
+    for i, row in enumerate(lower):
+        earlier[i, [column[t] for t in row]] = 1
+    top = {c: c for c in block["component"]}
+
+    def root(c):
+        while top[c] != c:
+            c = top[c]
+        return c
+
+    own, links = block["component"].tolist(), []
+    for at in range(0, len(nodes), 128):
+        tile = slice(at, at + 128)
+        agree = np.zeros((len(nodes[tile]), len(nodes)), np.uint8)
+        for k in range(signed.shape[1]):
+            agree += signed[tile, k][:, None] == signed[:, k]
+        fits = (agree >= matches) & (earlier[tile] @ earlier.T == 0)
+        fits &= (nodes[tile][:, None] < nodes) if one == two else (side[tile][:, None] == one) & (side == two)
+        x, y = np.nonzero(fits)
+        order = np.argsort(-agree[x, y].astype(int), kind="stable")  # likely links first: they make others needless
+        for i, j in zip((x[order] + at).tolist(), y[order].tolist(), strict=True):
+            a, b = root(own[i]), root(own[j])
+            if a != b and _similar(sets[i], sets[j], percent):
+                top[a] = b
+                links.append((int(nodes[i]), int(nodes[j])))
+    return links
+
+
+def _links_in_long_lists(lists: DataFrame, nodes: DataFrame, sets: DataFrame, prefixes: DataFrame,
+                         matches: int, percent: int) -> DataFrame:
+    """Links across components in lists (token, node, component) too long to write out their pairs.
+
+    A list is dealt by node into sides of bounded size; each pair of sides is a
+    block, compared inside one task.
+    """
+    dealt = lists.join(sets, "node").withColumn("size", F.size("shingles"))
+    sides = lists.join(sets.select("node", F.size("shingles").alias("size")), "node").groupBy("token").agg(
+        F.ceil(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count("*") / BLOCK_NODES)).cast("int").alias("sides"))
+    side = F.pmod(F.xxhash64("node"), F.col("sides")).cast("int")
+    rows = (dealt.join(sides, "token").withColumn("side", side)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+            .join(prefixes, "node").join(nodes.select("node", "signature"), "node")
+            .select("token", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"), "side",
+                    "node", "component", "signature", "prefix", "shingles"))
+
+    def each(block: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_block_links(block, matches, percent), columns=["a", "b"])
+
+    return rows.groupBy("token", "one", "two").applyInPandas(each, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 85,
                     coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept.
@@ -186,16 +256,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     tried = lists.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     links = cut_lineage(_confirmed(_agreeing(tried, nodes, coordinates, matches), sets, percent))
     label = components(links)
-    # lists of more than one component: every pair across components once, but those tried
+    # lists of more than one component: every pair across components, but those tried
     named = lists.join(label, "node", "left").select(
         "token", "a", "node", F.coalesce("component", "node").alias("component"))
-    open_lists = named.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
-    rest = cut_lineage(named.join(open_lists.select("token"), "token", "left_semi").where("node <> a"))
-    x = rest.select("token", F.col("node").alias("a"), F.col("component").alias("ca"))
-    y = rest.select("token", F.col("node").alias("b"), F.col("component").alias("cb"))
+    rest = named.where("node <> a")
+    open_lists = (rest.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d"),
+                                            F.count("*").alias("n")).where("c < d"))
+    rest = cut_lineage(rest.drop("a").join(open_lists.select("token", "n"), "token"))
+    short = rest.where(F.col("n") <= SHORT_LIST)
+    x = short.select("token", F.col("node").alias("a"), F.col("component").alias("ca"))
+    y = short.select("token", F.col("node").alias("b"), F.col("component").alias("cb"))
     across = x.join(y, (x["token"] == y["token"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"])).select("a", "b").distinct()
-    more = _confirmed(_agreeing(across, nodes, coordinates, matches), sets, percent)
-    joined = components(links.union(cut_lineage(more)))
+    more = cut_lineage(_confirmed(_agreeing(across, nodes, coordinates, matches), sets, percent))
+    long = rest.where(F.col("n") > SHORT_LIST).drop("n")
+    prefixes = (lists.join(long.select("node").distinct(), "node", "left_semi")
+                .groupBy("node").agg(F.collect_list("token").alias("prefix")))
+    blocks = cut_lineage(_links_in_long_lists(long, nodes, sets, prefixes, matches, percent))
+    joined = components(links.union(more).union(blocks))
 
     final = nodes.select("node", "k1", "k2", "first").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))

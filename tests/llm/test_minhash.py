@@ -59,6 +59,23 @@ def test_matches_brute_force_on_chains_copies_and_passages(spark):
     assert got(spark, rows) == brute(rows)
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    """One large group of near copies, some too far from all others: compared in several small blocks."""
+    import emberwall.llm.minhash as m
+
+    monkeypatch.setattr(m, "BLOCK_NODES", 20)
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(2000)]
+    base, rows = rng.choices(words, k=150), []
+    for i in range(150):
+        copy = list(base)
+        for _ in range(rng.choice([1, 1, 2, 3, 6, 9])):
+            copy[rng.randrange(150)] = rng.choice(words)
+        rows.append((i, " ".join(copy), 0))
+    want = brute(rows)
+    assert len({c for _, _, c in want}) > 3 and got(spark, rows) == want
+
+
 def test_odd_rows(spark):
     rows = [(1, None, 0), (2, "", 0), (3, " \n\t", 0), (4, "Two words", 0), (5, "two\x0bwords", 0), (6, "two", 0),
             (7, "a b c d e", 0), (7, "a b c d e", 0), (8, "x y z u v w", 0), (8, "quite another text under one id", 0),
