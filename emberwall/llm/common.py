@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from emberwall.session import shared_root
+from emberwall.session import shared_dir
 
 #: A word is a run of anything but ASCII white space (Java syntax; possessive, as nothing follows).
 WORD_RUN = r"[^\x20\x09-\x0D]++"
@@ -16,11 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder."""
+    """``df`` computed once, as a table in the shared folder that goes when the application ends.
+
+    Unlike a checkpoint, a table is planned by its real size; the estimates a
+    checkpoint hands on multiply with every join of an iteration until they
+    take all of the driver's memory.
+    """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+    path = shared_dir(spark, "scratch")
+    df.write.parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def word_count(text: Column) -> Column:
