@@ -1,8 +1,8 @@
 """Queries of the training-data operators and their SQL, by name."""
 
-from . import bpe, linededup, minhash, mixing
+from . import bpe, linededup, minhash, mixing, toxicity
 
-_MODULES = (minhash, mixing, bpe, linededup)
+_MODULES = (minhash, mixing, toxicity, bpe, linededup)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}

@@ -12,16 +12,16 @@ import numpy as np
 #: Bytes of text hashed in one go; a longer text makes a block of its own.
 BLOCK_BYTES = 1 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[0x41:0x5B] += 32
+LOWER = np.arange(256, dtype=np.uint64)
+LOWER[0x41:0x5B] += 32
 _powers = {}
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
+def power(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** n, kept as far as needed yet (modulo 2 ** 64)."""
     have = _powers.get(base)
     if have is None or len(have) <= n:
@@ -41,16 +41,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+class Runs:
+    """Runs of bytes outside ``gaps`` (a table of 256), with hashes of any parts of them."""
+
+    def __init__(self, raw: np.ndarray, gaps: np.ndarray):
+        gap = np.ones(len(raw) + 2, bool)
+        gap[1:-1] = gaps[raw]
+        edge = np.flatnonzero(gap[1:] != gap[:-1])
+        self.start, self.end = edge[::2], edge[1::2]
+        self._sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(LOWER[raw] * power(BASE, len(raw))[: len(raw)], out=self._sums[1:])
+        self._back = power(INVERSE, len(raw))
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hashes of the bytes between, A-Z lower-cased, wherever they stand."""
+        value = (self._sums[end] - self._sums[start]) * self._back[start]
+        return mixed(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the words in a byte array: start offsets and 64-bit hashes."""
-    space = np.ones(len(raw) + 2, bool)
-    space[1:-1] = _SPACE[raw]
-    edge = np.flatnonzero(space[1:] != space[:-1])
-    start, end = edge[::2], edge[1::2]
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_LOWER[raw] * _power(_BASE, len(raw))[: len(raw)], out=sums[1:])
-    value = (sums[end] - sums[start]) * _power(_INVERSE, len(raw))[start]
-    return start, mixed(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    words = Runs(raw, _SPACE)
+    return words.start, words.hashes(words.start, words.end)
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
