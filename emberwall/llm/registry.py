@@ -1,8 +1,8 @@
 """Queries of the training-data operators and their SQL, by name."""
 
-from . import bpe, licenses, linededup, minhash, mixing, toxicity
+from . import bpe, licenses, linededup, minhash, mixing, simhash, toxicity
 
-_MODULES = (minhash, mixing, toxicity, licenses, bpe, linededup)
+_MODULES = (minhash, mixing, toxicity, licenses, bpe, simhash, linededup)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
