@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import cut_lineage, table
+from .common import cut_lineage, table, word_count
 from .graph import components
 from .shingles import mixed, shingle_sets
 
@@ -76,8 +76,17 @@ def _maybe_empty(sets: list[np.ndarray], coordinates: int) -> list[np.ndarray |
     return [next(found) if len(s) else None for s in sets]
 
 
+def _text_key(text: Column) -> list[Column]:
+    body = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(body).alias("t1"), F.xxhash64(F.lit(1), body).alias("t2")]
+
+
+def _row_key(value: Column) -> list[Column]:
+    return [F.xxhash64(value, value.isNull())]
+
+
 def signatures(docs: DataFrame, id_col: str, text: str, size: int, coordinates: int) -> DataFrame:
-    """(id, n, k1, k2, signature) of every row; a set without shingles has null keys and signature."""
+    """(id, t1, t2, n, k1, k2, signature) of every row, t1 and t2 standing for its text; a set without shingles has null keys and signature."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,12 +100,12 @@ def signatures(docs: DataFrame, id_col: str, text: str, size: int, coordinates:
             rows += _maybe_empty(held, coordinates)
             n, k1, k2 = zip(*keys, strict=True) if keys else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(x, pa.int64()) for x in (n, k1, k2)), pa.array(rows, pa.list_(pa.int32()))],
-                names=["id", "n", "k1", "k2", "signature"])
+                [batch.column(0), batch.column(2), batch.column(3), *(pa.array(x, pa.int64()) for x in (n, k1, k2)),
+                 pa.array(rows, pa.list_(pa.int32()))], names=["id", "t1", "t2", "n", "k1", "k2", "signature"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), docs[text].alias("text")).mapInArrow(
-        each, f"id {kind}, n long, k1 long, k2 long, signature array<int>")
+    return docs.select(docs[id_col].alias("id"), docs[text].alias("text"), *_text_key(docs[text])).mapInArrow(
+        each, f"id {kind}, t1 long, t2 long, n long, k1 long, k2 long, signature array<int>")
 
 
 def _prefix_postings(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -231,18 +240,9 @@ def _links_in_long_lists(lists: DataFrame, nodes: DataFrame, sets: DataFrame, pr
     return rows.groupBy("token", "one", "two").applyInPandas(each, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 85,
-                    coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept.
-
-    Links join documents with 100 * intersection >= percent * union of their
-    shingle sets; component_id is the smallest id reachable, kept whether it is
-    the document's own. Fewer words than ``size`` make one shingle; a null or
-    empty text has none and links with nothing. Rows that repeat an id with
-    equal texts are alike in the result, with different texts they are linked
-    only by their texts; a null id counts as larger than any other. An empty
-    table gives no rows. Other columns of ``docs`` are not looked at.
-    """
+def _with_components(docs: DataFrame, id_col: str, text: str, size: int, percent: int, coordinates: int,
+                     matches: int) -> DataFrame:
+    """(id, t1, t2, n, component, component_id) of every row; without shingles the component is null."""
     signed = cut_lineage(signatures(docs, id_col, text, size, coordinates))
     grouped = (signed.where("k1 is not null").groupBy("k1", "k2")
                .agg(F.min("id").alias("first"), F.first("signature").alias("signature")))
@@ -277,11 +277,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     final = nodes.select("node", "k1", "k2", "first").join(joined, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = final.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_set = final.join(least, "component").select("k1", "k2", "component_id")
-    linked = signed.select("id", "n", "k1", "k2").join(by_set, ["k1", "k2"], "left")
-    component_id: Column = F.when(F.col("k1").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component_id.alias("component_id"),
-                         F.col("id").eqNullSafe(component_id).alias("kept"))
+    by_set = final.join(least, "component").select("k1", "k2", "component", F.col("component_id").alias("least"))
+    return signed.join(by_set, ["k1", "k2"], "left").select(
+        "id", "t1", "t2", "n", "component",
+        F.when(F.col("k1").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 85,
+                    coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+    """One row per document: id, n_shingles, component_id, kept.
+
+    Links join documents with 100 * intersection >= percent * union of their
+    shingle sets; component_id is the smallest id reachable, kept whether it is
+    the document's own. Fewer words than ``size`` make one shingle; a null or
+    empty text has none and links with nothing. Rows that repeat an id with
+    equal texts are alike in the result, with different texts they are linked
+    only by their texts; a null id counts as larger than any other. An empty
+    table gives no rows. Other columns of ``docs`` are not looked at.
+    """
+    rows = _with_components(docs, id_col, text, size, percent, coordinates, matches)
+    return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 5, percent: int = 85,
+                coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+    """The documents themselves, one row of each near-duplicate component: the one of the smallest id.
+
+    Rows equal in id and text count as one; texts without words are in no
+    component and all stay. Columns keep their names and values.
+    """
+    rows = _with_components(docs, id_col, text, size, percent, coordinates, matches).where("component is not null")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t1", "t2")).alias("first"))
+    key = ["__id", "__t1", "__t2"]
+    winners = first.select(_row_key(F.col("first.id"))[0].alias("__id"), F.col("first.t1").alias("__t1"),
+                           F.col("first.t2").alias("__t2"), F.lit(True).alias("__won"))
+    keyed = docs.withColumns(dict(zip(key, (*_row_key(docs[id_col]), *_text_key(docs[text])), strict=True)))
+    turn = F.row_number().over(Window.partitionBy(*key).orderBy("__t1"))
+    out = keyed.join(winners, key, "left").withColumn("__turn", turn)
+    return out.where((F.col("__won") & (F.col("__turn") == 1)) | (word_count(F.col(text)) == 0)).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
