@@ -1,8 +1,8 @@
 """Queries of the training-data operators and their SQL, by name."""
 
-from . import bpe, gridjoin, licenses, linededup, minhash, mixing, pll, simhash, toxicity
+from . import bpe, gridjoin, licenses, linededup, minhash, mixing, pii, pll, simhash, toxicity
 
-_MODULES = (gridjoin, minhash, pll, mixing, toxicity, licenses, bpe, simhash, linededup)
+_MODULES = (gridjoin, minhash, pll, mixing, pii, toxicity, licenses, bpe, simhash, linededup)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
