@@ -179,8 +179,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rounds: in
 
 def listed(kinds: tuple[str, ...]) -> Column:
     """Spans as kind:start:end, by kind in the order given, then start."""
-    return F.array_join(F.concat(*[F.transform(k, lambda s, k=k: F.concat_ws(":", F.lit(k), s["start"], s["end"]))
-                                   for k in kinds]), ",")
+    def of(kind):
+        return F.transform(kind, lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"]))
+
+    return F.array_join(F.concat(*map(of, kinds)), ",")
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

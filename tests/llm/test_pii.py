@@ -74,7 +74,7 @@ def test_query(spark):
     df = op5_pii(spark, sf)
     assert df.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
     rows = df.collect()
-    assert len(rows) == len(texts)
+    assert len(rows) == len(texts) and any("context:" in r.spans for r in rows)
     for r in rows:
         base = plain(texts[r.doc_id])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x[0] for x in base) for k in KINDS]
