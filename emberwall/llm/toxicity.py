@@ -112,29 +112,38 @@ def _in_blocks(texts: list[str]) -> Iterator[tuple[list[bytes], Sentences]]:
         yield block, sentences(np.frombuffer(b"\n".join(block), np.uint8), [len(x) for x in block])
 
 
+def _once_a_document(s: Sentences) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each kind of feature: hashes and texts of the block, once for each pair."""
+    for f in s.features:
+        doc = s.of_doc[s.of_word]
+        order = np.lexsort((f, doc))
+        f, doc = f[order], doc[order]
+        new = (f != 0) & ((np.diff(f, prepend=~f[:1]) != 0) | (np.diff(doc, prepend=-1) != 0))
+        yield f[new], doc[new]
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
     """Noisy-or model from document labels (0 or 1), in numpy."""
     toxic = np.asarray(toxic, bool)
     if not len(toxic) or toxic.all() or not toxic.any():
         return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, float(toxic.mean()) if len(toxic) else 0.0)
-    # first the features that tell: each counted once a document
-    seen, bad, done = [], [], 0
+    # first the features that tell, each counted once a document; only those whose hash range is in enough toxic
+    # documents are counted one by one, block after block
+    in_toxic = np.zeros(1 << _BITS, np.int64)
+    done = 0
+    for block, s in _in_blocks(texts):
+        for f, doc in _once_a_document(s):
+            in_toxic += np.bincount((f[toxic[doc + done]] >> np.uint64(64 - _BITS)).astype(np.int64), minlength=1 << _BITS)
+        done += len(block)
+    known, n, n_bad, done = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), 0
     for block, s in _in_blocks(texts):
-        for f in s.features:
-            doc = s.of_doc[s.of_word]
-            order = np.lexsort((f, doc))
-            f, doc = f[order], doc[order]
-            new = (f != 0) & ((np.diff(f, prepend=~f[:1]) != 0) | (np.diff(doc, prepend=-1) != 0))
-            seen.append(f[new])
-            bad.append(toxic[doc[new] + done])
+        for f, doc in _once_a_document(s):
+            some = in_toxic[(f >> np.uint64(64 - _BITS)).astype(np.int64)] >= LEAST_DOCS
+            f, doc = f[some], doc[some]
+            known, place = np.unique(np.concatenate([known, f]), return_inverse=True)
+            n = np.bincount(place, np.concatenate([n, np.ones(len(f))]), len(known))
+            n_bad = np.bincount(place, np.concatenate([n_bad, toxic[doc + done]]), len(known))
         done += len(block)
-    seen, bad = np.concatenate(seen), np.concatenate(bad)
-    order = np.argsort(seen, kind="stable")
-    seen, bad = seen[order], bad[order]
-    first = np.flatnonzero(np.diff(seen, prepend=~seen[:1]))
-    n, n_bad = np.diff(np.append(first, len(seen))), np.add.reduceat(bad.astype(np.int64), first)
-    known = seen[first]
-    del seen, bad, order
     # how far the share of toxic documents is above the usual, in standard errors
     share = toxic.mean()
     tied = np.where(n_bad >= LEAST_DOCS, (n_bad - n * share) / np.sqrt(n * share * (1 - share)), -np.inf)
