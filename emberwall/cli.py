@@ -15,18 +15,14 @@ import json
 import sys
 
 from .operators import aggregates as A
-from .operators.classify import analyze_batch, drop_corrupt
+from .operators.classify import analyze_batch
 from .operators.search import preview
-from .session import build_session, shared_dir
+from .session import build_session
 from .sinks import files as K
 from .sources.csv import scan_csv
-from .sources.jsonl import scan_jsonl
+from .sources.jsonl import landing_inventory, scan_jsonl
 from .streaming import jobs as ST
-
-
-def _stats(classified) -> dict:
-    row = A.batch_stats(drop_corrupt(classified)).first()
-    return row.asDict()
+from .streaming.progress import ProgressCollector, watched
 
 
 def cmd_classify(spark, args) -> int:
@@ -34,9 +30,11 @@ def cmd_classify(spark, args) -> int:
     if not K.write_classified_csv(classified, args.output):
         print("empty result: nothing written", file=sys.stderr)
         return 1
-    print(json.dumps(_stats(classified)))
+    # statistics and preview come from what was written, so the input is classified once
+    written = scan_csv(spark, args.output)
+    print(json.dumps(A.batch_stats(written).first().asDict()))
     if args.preview:
-        preview(drop_corrupt(classified)).show(truncate=False)
+        preview(written).show(truncate=False)
     return 0
 
 
@@ -49,15 +47,25 @@ def cmd_curate(spark, args) -> int:
     return 0
 
 
-def _checkpoint(spark, args, purpose: str) -> str:
-    return args.checkpoint or shared_dir(spark, purpose)
+def _checkpoint(args) -> str:
+    """A stream's progress folder: the same for every run over an output, so a restart goes on where the last ended."""
+    return args.checkpoint or f"{args.output.rstrip('/')}__checkpoint"
+
+
+def _admission(args) -> dict:
+    return {"trigger": args.trigger, "max_files_per_trigger": args.max_files_per_trigger,
+            "max_bytes_per_trigger": args.max_bytes_per_trigger}
 
 
 def cmd_land(spark, args) -> int:
     if args.stream:
-        q = ST.stream_landing(spark, args.input, args.output, _checkpoint(spark, args, "land-ckpt"),
-                              trigger=args.trigger, max_files_per_trigger=args.max_files_per_trigger)
-        print(json.dumps([p["numInputRows"] for p in q.recentProgress]))
+        document = f"{args.output.rstrip('/')}__meta/progress"
+        collector = ProgressCollector(
+            on_snapshot=lambda snap: K.write_progress(spark, snap, document),
+            count_parts=lambda: landing_inventory(spark, args.output).first()["files"])
+        q = watched(spark, lambda: ST.stream_landing(spark, args.input, args.output, _checkpoint(args),
+                                                     **_admission(args)), collector)
+        print(json.dumps(collector.snapshot(str(q.id))))
     else:
         K.landing_write(scan_jsonl(spark, args.input), args.output)
     return 0
@@ -65,8 +73,7 @@ def cmd_land(spark, args) -> int:
 
 def cmd_upsert(spark, args) -> int:
     if args.stream:
-        ST.stream_upsert(spark, args.input, args.output, _checkpoint(spark, args, "upsert-ckpt"),
-                         trigger=args.trigger, max_files_per_trigger=args.max_files_per_trigger)
+        ST.stream_upsert(spark, args.input, args.output, _checkpoint(args), **_admission(args))
     else:
         K.dedup_append(scan_jsonl(spark, args.input), args.output)
     return 0
@@ -91,6 +98,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--checkpoint", default=None)
         p.add_argument("--trigger", default=None, help="processing-time interval; default: available now")
         p.add_argument("--max-files-per-trigger", type=int, default=None)
+        p.add_argument("--max-bytes-per-trigger", default=None, help="such as 64m; with --trigger this bounds the rate")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     handler = {"classify": cmd_classify, "curate": cmd_curate, "land": cmd_land, "upsert": cmd_upsert}[args.cmd]

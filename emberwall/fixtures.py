@@ -7,12 +7,10 @@ DuckDB oracle. Braces are doubled because the text is a ``str.format`` template.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import ensure_utc, read_table, session_token
+from .session import ensure_utc, read_table
 
 FW_RAW_TEMPLATE = """
 SELECT
@@ -46,6 +44,9 @@ SELECT
        WHEN (event_id * 7) % 40 = 6 THEN 'Ransomware' WHEN (event_id * 7) % 40 = 7 THEN 'Path traversal'
        WHEN (event_id * 7) % 40 = 8 THEN 'Suspicious payload' WHEN (event_id * 7) % 40 = 9 THEN 'No policy'
        WHEN (event_id * 7) % 40 = 10 THEN 'Multiple auth failures'
+       WHEN event_id % 191 = 0 THEN 'say ' || chr(34) || 'hi' || chr(34) || ', policy match'
+       WHEN event_id % 193 = 0 THEN '  padded  ' WHEN event_id % 197 = 0 THEN 'back' || chr(92) || 'slash ' || chr(92)
+       WHEN event_id % 199 = 0 THEN 'two' || chr(10) || 'lines'
        ELSE 'policy match' END AS reason,
   CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS status,
   CASE WHEN (event_id * 11) % 60 = 0 THEN 'scan' WHEN (event_id * 11) % 60 = 1 THEN 'AUTH_FAIL'
@@ -60,6 +61,9 @@ WITH e AS (
   SELECT event_id, ts, 60 AS delay FROM {events} WHERE event_id % 10 = 0
 )
 SELECT CASE WHEN event_id % 97 = 0 THEN 'not json ' || CAST(event_id AS STRING)
+  WHEN event_id % 191 = 0 THEN '{{' || chr(39) || 'id' || chr(39) || ':' || chr(39) || 'e' || CAST(event_id AS STRING) || chr(39)
+    || ',' || chr(39) || 'timestamp' || chr(39) || ':' || chr(39) || '2024-01-01T00:00:00Z' || chr(39) || '}}'
+  WHEN event_id % 193 = 0 THEN '{{"id":"e' || CAST(event_id AS STRING) || '","timestamp":"2024-01-01T00:00:00Z","ingest_ts":"2024-02-01T00:00:00Z"}} trailing'
   ELSE '{{"id":"e' || CAST(event_id AS STRING) || '"' ||
     CASE WHEN event_id % 89 = 0 THEN '' WHEN event_id % 83 = 0 THEN ',"timestamp":"bad"'
          WHEN event_id % 79 = 0 THEN ',"@timestamp":"' || replace(CAST(date_trunc('second', ts) AS STRING), ' ', 'T') || 'Z"'
@@ -75,35 +79,21 @@ FW_COLUMNS = (
 )
 
 
-_FRAMES: dict = {}
-
-
-def _derived(spark: SparkSession, sf_dir: str, kind: str, template: str) -> DataFrame:
-    """The derived frame, planned once per session and source file (like a registered view)."""
+def _derived(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
+    """The derived frame; records are dealt over as many tasks as shuffles have, as files from many sources would be."""
     ensure_utc(spark)
-    src = os.path.join(sf_dir, "events.parquet")
-    token = session_token(spark)
-    try:
-        st = os.stat(src)
-        key = (token, kind, os.path.abspath(sf_dir), st.st_size, st.st_mtime_ns) if token else None
-    except OSError:
-        key = None
-    if key is not None and key in _FRAMES:
-        return _FRAMES[key]
-    df = spark.sql(template, events=read_table(spark, sf_dir, "events"))
-    if key is not None:
-        _FRAMES[key] = df
-    return df
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.sql(template, events=read_table(spark, sf_dir, "events").repartition(tasks, "event_id"))
 
 
 def fw_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Firewall records derived from ``events`` (one per event, every rule exercised)."""
-    return _derived(spark, sf_dir, "fw_raw", FW_RAW_TEMPLATE)
+    return _derived(spark, sf_dir, FW_RAW_TEMPLATE)
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSONL lines derived from ``events`` (``value`` column), with re-sent versions."""
-    return _derived(spark, sf_dir, "log_lines", LOG_LINES_TEMPLATE)
+    return _derived(spark, sf_dir, LOG_LINES_TEMPLATE)
 
 
 def cursor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

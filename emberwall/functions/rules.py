@@ -136,33 +136,18 @@ def join_labels(conditions: list[tuple[str, Column]]) -> Column:
     return F.nullif(F.concat_ws("|", *label_columns(conditions)), F.lit(""))
 
 
-def is_attack(reason: Column | None = None, flags: Column | None = None, lowered: bool = False) -> Column:
-    """Any attack phrase in reason OR any marker in flags, case-insensitive (three-valued).
-
-    With ``lowered=True`` the inputs are already lower-cased columns, so each
-    phrase is a plain byte search on them.
-    """
+def is_attack(reason: Column | None = None, flags: Column | None = None) -> Column:
+    """Any attack phrase in reason OR any marker in flags, case-insensitive (three-valued)."""
     reason = _s("reason") if reason is None else reason
     flags = _s("flags") if flags is None else flags
-    if lowered:
-        return contains_any(reason, [p.lower() for p in ATTACK_REASON_PATTERNS], method="contains") | contains_any(
-            flags, [p.lower() for p in ATTACK_FLAG_PATTERNS], method="contains")
     return contains_any(reason, ATTACK_REASON_PATTERNS, ignore_case=True) | contains_any(
         flags, ATTACK_FLAG_PATTERNS, ignore_case=True
     )
 
 
-def is_attack_api(reason_lc: Column | None = None, flags_lc: Column | None = None) -> Column:
-    """P8 as the API evaluates it: missing text is '' so the result is never null.
-
-    Pass lower-cased, null-to-'' columns to use plain byte searches.
-    """
-    if reason_lc is not None and flags_lc is not None:
-        return is_attack(reason_lc, flags_lc, lowered=True)
-    return F.coalesce(
-        is_attack(F.coalesce(_s("reason"), F.lit("")), F.coalesce(_s("flags"), F.lit(""))),
-        F.lit(False),
-    )
+def is_attack_api() -> Column:
+    """P8 as the API evaluates it: missing text is '' so the result is never null."""
+    return is_attack(F.coalesce(_s("reason"), F.lit("")), F.coalesce(_s("flags"), F.lit("")))
 
 
 def classify(bug_type: Column, attack: Column) -> Column:

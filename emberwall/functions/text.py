@@ -16,27 +16,18 @@ def literal_alternation(phrases: Iterable[str]) -> str:
     return "|".join(f"(?:{re.escape(p)})" for p in phrases)
 
 
-# Up to this many phrases are tested with plain ``contains`` (byte search on the
-# UTF-8 value, no decoding); longer lists use one fused regex, which keeps the
-# generated code small enough for the JIT.
-CONTAINS_MAX_PHRASES = 4
-
-
-def contains_any(col: Column, phrases: Iterable[str], ignore_case: bool = False,
-                 method: str = "auto") -> Column:
+def contains_any(col: Column, phrases: Iterable[str], ignore_case: bool = False) -> Column:
     """Substring search for any phrase; three-valued on null (like a regex find).
 
-    ``method``: ``"contains"`` (byte searches), ``"regex"`` (one fused
-    pattern) or ``"auto"`` (byte searches for short lists).
+    Case-sensitive phrases are byte searches on the UTF-8 value; letters of
+    either case are one fused regex with Unicode case folding.
     """
     phrases = list(phrases)
-    if method == "regex" or (method == "auto" and len(phrases) > CONTAINS_MAX_PHRASES):
-        prefix = "(?iu)" if ignore_case else ""
-        return col.rlike(prefix + literal_alternation(phrases))
-    target = F.lower(col) if ignore_case else col
+    if ignore_case:
+        return col.rlike("(?iu)" + literal_alternation(phrases))
     expr = None
     for p in phrases:
-        term = target.contains(p.lower() if ignore_case else p)
+        term = col.contains(p)
         expr = term if expr is None else (expr | term)
     return expr
 

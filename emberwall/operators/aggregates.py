@@ -59,6 +59,11 @@ def stats_by_firewall(logs: DataFrame) -> DataFrame:
     return logs.groupBy("firewall_id").agg(*overview_measures())
 
 
+def stats_by_protocol(logs: DataFrame) -> DataFrame:
+    """A12's sibling: the overview counters per protocol."""
+    return logs.groupBy("protocol").agg(*overview_measures())
+
+
 def _hour_text(hour: Column) -> Column:
     # the API returns str(hour): a null hour becomes the text 'None'
     return F.coalesce(F.date_format(hour, "yyyy-MM-dd HH:mm:ss"), F.lit("None"))

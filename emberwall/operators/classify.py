@@ -76,25 +76,22 @@ _TS_NORM = "_ts_norm"
 def _classify_stages(timestamp_mode: str):
     s1 = {
         _TS_NORM: normalize_timestamp(F.col("timestamp").cast("string")),
-        "_reason_lc": F.lower(F.col("reason").cast("string")),
-        "_flags_lc": F.lower(F.col("flags").cast("string")),
     }
     rule_ts = F.col(_TS_NORM) if timestamp_mode == "parsed" else F.col("timestamp").cast("string")
     conds = rules.batch_label_conditions(rule_ts)
     flag_cols = {f"_l{i}": F.coalesce(c, F.lit(False)) for i, (_, c) in enumerate(conds)}
-    s2 = {**flag_cols, "_is_attack": rules.is_attack(F.col("_reason_lc"), F.col("_flags_lc"), lowered=True)}
+    s2 = {**flag_cols, "_is_attack": rules.is_attack()}
     stored = [(name, F.col(f"_l{i}")) for i, (name, _) in enumerate(conds)]
     s3 = {"bug_type": rules.join_labels(stored), BUG_TIER: rules.tier_from_conditions(stored)}
     s4 = {"log_type": rules.classify_tier(F.col(BUG_TIER), F.col("_is_attack")), "timestamp": F.col(_TS_NORM)}
-    drops = ["_is_attack", _TS_NORM, "_reason_lc", "_flags_lc", *flag_cols]
+    drops = [_TS_NORM, *flag_cols]
     return s1, s2, s3, s4, drops
 
 
-def classify_records(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame:
-    """P2 + P6-P10: normalised timestamp, ``bug_type`` and ``log_type``.
+def classify_records(df: DataFrame, timestamp_mode: str = "parsed", keep_attack: bool = False) -> DataFrame:
+    """P2 + P6-P10: normalised timestamp, ``bug_type`` and ``log_type`` (and P8's ``is_attack`` if asked for).
 
-    Staged projections: (1) the normalised timestamp and lower-cased text,
-    (2) one boolean per label plus the attack test, (3) label text and
+    Staged projections: (1) the normalised timestamp, (2) one boolean per label plus the attack test, (3) label text and
     severity tier from those booleans, (4) the class. Each rule is evaluated
     once per record: building the outputs straight from the conditions would
     re-evaluate them inside CASE branches and OR tails, where common
@@ -103,7 +100,8 @@ def classify_records(df: DataFrame, timestamp_mode: str = "parsed") -> DataFrame
     """
     _check_mode(timestamp_mode)
     s1, s2, s3, s4, drops = _memo(("classify", timestamp_mode), lambda: _classify_stages(timestamp_mode))
-    return df.withColumns(s1).withColumns(s2).withColumns(s3).withColumns(s4).drop(*drops)
+    out = df.withColumns(s1).withColumns(s2).withColumns(s3).withColumns(s4).drop(*drops)
+    return out.withColumnRenamed("_is_attack", "is_attack") if keep_attack else out.drop("_is_attack")
 
 
 def normalize_text(df: DataFrame) -> DataFrame:
@@ -162,12 +160,12 @@ def _api_stages():
 
     s1 = {
         "_ts_s": txt("timestamp"), "_src_s": txt("src_ip"), "_dst_s": txt("dst_ip"),
-        "_r_l": F.lower(txt("reason")), "_f_l": F.lower(txt("flags")),
+        "_r_l": F.lower(txt("reason")),
         "_f_u": F.upper(txt("flags")), "_a_u": F.upper(txt("action")),
     }
     conds = rules.api_label_conditions(F.col("_ts_s"), F.col("_src_s"), F.col("_dst_s"))
     flag_cols = {f"_l{i}": F.coalesce(c, F.lit(False)) for i, (_, c) in enumerate(conds)}
-    s2 = {**flag_cols, "_is_attack": rules.is_attack_api(F.col("_r_l"), F.col("_f_l"))}
+    s2 = {**flag_cols, "_is_attack": rules.is_attack_api()}
     stored = [(name, F.col(f"_l{i}")) for i, (name, _) in enumerate(conds)]
     s3 = {"bug_type": rules.join_labels(stored)}
     s4 = {"log_type": F.when(F.col("bug_type").isNotNull(), F.lit("Bug"))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .. import fixtures
 from ..functions import rules
-from ..functions.constants import EXPECTED_TOTAL_DOCS
+from ..functions.constants import EXPECTED_TOTAL_DOCS, PREVIEW_COLUMNS
 from ..functions.timefmt import normalize_timestamp, parse_iso, relative_time
 from ..functions.text import endpoint_label, null_tokens
 from ..operators import aggregates as A
@@ -31,6 +31,7 @@ from ..sources import csv as CSV
 from ..sources import jsonl as J
 from ..sources import tables as TB
 from ..streaming import jobs as ST
+from ..streaming.progress import ProgressCollector, watched
 from . import sql as Q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,29 +79,23 @@ def lines(spark, d):
 _STORED: dict[tuple, str] = {}
 
 
+def store_curated(spark, d, path: str) -> None:
+    """Classify the records of a dataset and store the curated table at ``path``."""
+    K.curated_write(classified(spark, d), path)
+
+
 def stored_curated(spark, d):
-    """The curated table as the read API sees it: classified once, stored, then read.
+    """The curated table as the read API sees it: stored once per session and dataset path, then read.
 
-    Written once per dataset (keyed by the source file's size and time) under
-    the shared folder; filters on ``severity``/``action``/``protocol`` then
-    reach the Parquet scan as pushed filters instead of being evaluated
-    through the classification rules.
+    Filters on ``severity``/``action``/``protocol`` reach the Parquet scan
+    as pushed filters instead of being evaluated through the rules.
     """
-    import os
-
-    src = os.path.join(d, "events.parquet")
-    try:
-        st = os.stat(src)
-        key = (session_token(spark), os.path.abspath(d), st.st_size, st.st_mtime_ns)
-    except OSError:
-        key = None
-    path = _STORED.get(key) if key else None
-    if path is None:
+    key = (session_token(spark), d)
+    if key not in _STORED:
         path = shared_dir(spark, "curated-table")
-        K.curated_write(classified(spark, d), path)
-        if key:
-            _STORED[key] = path
-    return TB.read_curated(spark, path).drop("created_at", "day")
+        store_curated(spark, d, path)
+        _STORED[key] = path
+    return TB.read_curated(spark, _STORED[key]).drop("created_at", "day")
 
 
 WC, WCU, WAPI, WING = Q.with_classified(), Q.with_curated(), Q.with_api(), Q.with_ingested()
@@ -147,7 +142,7 @@ def q_bug_type(spark, d):
 
 @register("is_attack", f"{WC} SELECT id, is_attack FROM b2")
 def q_is_attack(spark, d):
-    return raw_logs(spark, d).select("id", rules.is_attack().alias("is_attack"))
+    return C.classify_records(raw_logs(spark, d), keep_attack=True).select("id", "is_attack")
 
 
 @register("classify", f"{WC} SELECT id, log_type FROM b3")
@@ -244,8 +239,9 @@ _FW_TXT_NO_FLAGS = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in fixtures.FW
 def q_scan_csv(spark, d):
     base = shared_dir(spark, "csv")
     a, b = _two_shapes(_tokenised(raw_logs(spark, d)))
-    a.write.option("header", True).csv(f"{base}/part_a")
-    b.write.option("header", True).csv(f"{base}/part_b")
+    for frame, name in ((a, "part_a"), (b, "part_b")):
+        (frame.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{name}"))
     return CSV.scan_csv(spark, f"{base}/*/*.csv")
 
 
@@ -335,12 +331,13 @@ def q_endpoint_label(spark, d):
     )
 
 
-@register("preview")
+@register("preview", f"{WC} SELECT {', '.join(PREVIEW_COLUMNS)} FROM classified "
+          "WHERE NOT contains(bug_type, 'CORRUPT_LINE') ORDER BY id LIMIT 10")
 def q_preview(spark, d):
-    return S.preview(C.drop_corrupt(classified(spark, d)))
+    return S.preview(C.drop_corrupt(classified(spark, d)).orderBy("id"))
 
 
-@register("chronological_export")
+@register("chronological_export", f"{WCU} SELECT id, {Q.fmt_ts('timestamp')} AS timestamp FROM curated")
 def q_chronological_export(spark, d):
     return text_times(S.chronological_export(stored_curated(spark, d)).select("id", "timestamp"))
 
@@ -378,6 +375,11 @@ def q_stats_by_firewall(spark, d):
     return A.stats_by_firewall(stored_curated(spark, d))
 
 
+@register("stats_by_protocol", f"{WCU} SELECT protocol, {_OVERVIEW_SQL} FROM curated GROUP BY protocol")
+def q_stats_by_protocol(spark, d):
+    return A.stats_by_protocol(stored_curated(spark, d))
+
+
 TIMELINE_SQL = (f"SELECT coalesce({Q.fmt_ts('h')}, 'None') AS hour, total FROM ("
                 "SELECT date_trunc('hour', timestamp) AS h, count(*) AS total FROM curated "
                 "GROUP BY 1 ORDER BY h ASC NULLS LAST LIMIT 168)")
@@ -474,8 +476,8 @@ SELECT coalesce({Q.fmt_ts('h')}, 'None') AS hour, total FROM (
   WHERE timestamp IS NOT NULL AND firewall_id IS NOT NULL AND protocol IS NOT NULL AND action IS NOT NULL
   GROUP BY 1 ORDER BY h ASC NULLS LAST LIMIT 168)""")
 def q_timeline_rollup(spark, d):
-    c = stored_curated(spark, d)
-    return A.timeline_rollup(A.hourly_rollup(c), c)
+    rollup = K.read_rollup_table(spark, _stored_rollups(spark, d), "firewall_stats_hourly")
+    return A.timeline_rollup(rollup, stored_curated(spark, d))
 
 
 PORTS_SQL = """
@@ -567,8 +569,8 @@ SELECT value, {Q.fmt_ts(Q.iso_utc("CASE WHEN json_valid(value) THEN json_extract
   AS timestamp FROM log_lines""")
 def q_parse_iso(spark, d):
     ln = lines(spark, d)
-    ts = F.from_json("value", "timestamp string")["timestamp"]
-    return text_times(ln.select("value", parse_iso(ts).alias("timestamp")))
+    parsed = J.parsed_once(ln, "value", "timestamp string")
+    return text_times(parsed.select("value", parse_iso(F.col("j.timestamp")).alias("timestamp")))
 
 
 @register("partition_key", f"""WITH {Q.log_lines_cte()}
@@ -645,7 +647,10 @@ def q_cursor_latest(spark, d):
 def q_cursor_write(spark, d):
     ensure_utc(spark)
     table = shared_dir(spark, "cursor")
-    fixtures.cursor_rows(spark, d).write.mode("append").parquet(table)
+    rows = fixtures.cursor_rows(spark, d)
+    rows.write.mode("append").parquet(table)
+    for newest in TB.cursor_latest(rows).collect():  # one row per component: each job moves its cursor on
+        K.cursor_write(spark, table, newest["cursor_ts"], newest["cursor_id"], newest["component"])
     return TB.cursor_latest(spark.read.parquet(table))
 
 
@@ -688,18 +693,22 @@ def q_scan_landing(spark, d):
     return J.scan_landing(spark, base).select("value", "dt", "hour")
 
 
-@register("landing_inventory")
+@register("landing_inventory", f"WITH {Q.log_lines_cte()} SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS total_bytes "
+          "FROM log_lines")
 def q_landing_inventory(spark, d):
     base = shared_dir(spark, "landing")
     K.landing_write(lines(spark, d), base)
-    return J.landing_inventory(spark, base)
+    return J.landing_inventory(spark, base).select("total_bytes")  # the number of files depends on the cluster
 
 
-@register("landing_latest_parts")
+@register("landing_latest_parts", f"""WITH {Q.log_lines_cte()}
+SELECT max(coalesce(strftime(t, '%Y-%m-%d'), 'unknown') || '/' || coalesce(strftime(t, '%H'), '00')) AS folder
+FROM (SELECT {Q.line_time()} AS t FROM log_lines)""")
 def q_landing_latest_parts(spark, d):
     base = shared_dir(spark, "landing")
     K.landing_write(lines(spark, d), base)
-    return J.landing_latest_parts(spark, base)
+    last = J.landing_latest_parts(spark, base, 1)
+    return last.select(F.regexp_replace("path", "^.*/dt=([^/]+)/hour=([^/]+)/[^/]*$", "$1/$2").alias("folder"))
 
 
 @register("reconcile_counts", f"WITH {Q.log_lines_cte()} SELECT count(*) AS source_rows, count(*) AS landed_rows, "
@@ -732,7 +741,7 @@ def q_classified_csv(spark, d):
     K.write_classified_csv(classified(spark, d), path)
     cols = [*fixtures.FW_COLUMNS, "bug_type", "log_type", "severity", "attack_type"]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema(schema).csv(path)
 
 
 @register("curated_write", f"{WCU} {CUR_TXT}")
@@ -742,8 +751,7 @@ def q_curated_write(spark, d):
     return text_times(TB.read_curated(spark, path).drop("created_at", "day"))
 
 
-@register("ingest_progress")
-def q_ingest_progress(spark, d):
+def _landing_progress(spark, d):
     import time as _time
 
     base = shared_dir(spark, "landing")
@@ -754,9 +762,16 @@ def q_ingest_progress(spark, d):
     return K.progress_snapshot(spark, docs, inv["files"], _time.monotonic() - t0)
 
 
-@register("progress_report")
+# clock fields and the number of parts differ from run to run; the rest must agree
+@register("ingest_progress", f"WITH {Q.log_lines_cte()} SELECT count(*) AS total_docs FROM log_lines")
+def q_ingest_progress(spark, d):
+    return _landing_progress(spark, d).select("total_docs")
+
+
+@register("progress_report", f"WITH {Q.log_lines_cte()} SELECT count(*) AS total_docs, {EXPECTED_TOTAL_DOCS} AS expected_total, "
+          f"round(count(*) * 100.0 / {EXPECTED_TOTAL_DOCS}, 1) AS pct_done FROM log_lines")
 def q_progress_report(spark, d):
-    return A.progress_report(q_ingest_progress(spark, d), EXPECTED_TOTAL_DOCS)
+    return A.progress_report(_landing_progress(spark, d), EXPECTED_TOTAL_DOCS).select("total_docs", "expected_total", "pct_done")
 
 
 # ---- streaming (ST1-ST7) ----------------------------------------------------------------
@@ -808,29 +823,37 @@ FROM ({HOURLY_SQL})""")
 def q_stream_window_rollup(spark, d):
     src = _source_files(spark, d, "stream-fw", _fw_json_lines(spark, d))
     table = shared_dir(spark, "stream-window")
-    ST.stream_window_rollup(spark, src, table, shared_dir(spark, "ckpt"))
+    ST.stream_window_rollup(spark, src, table, shared_dir(spark, "ckpt"), max_files_per_trigger=1)
     rolled = ST.read_window_rollup(spark, table).drop("unique_src_ips", "unique_dst_ips")
     return _rounded_rollup(rolled.withColumn("total_bytes", F.col("total_bytes").cast("bigint")))
 
 
-@register("stream_dedup", f"{WING} SELECT DISTINCT id, {Q.fmt_ts('timestamp')} AS timestamp FROM ingested")
+@register("stream_dedup", LATEST_SQL)
 def q_stream_dedup(spark, d):
     src = _source_files(spark, d, "stream-src")
     out = shared_dir(spark, "stream-dedup")
-    ST.stream_dedup(spark, src, out, shared_dir(spark, "ckpt"))
-    return text_times(spark.read.parquet(out).select("id", "timestamp"))
+    ST.stream_dedup(spark, src, out, shared_dir(spark, "ckpt"), max_files_per_trigger=1)
+    return text_times(ST.read_stream_dedup(spark, out))
 
 
-@register("stream_progress")
-def q_stream_progress(spark, d):
+def _stream_totals(spark, d, files: int | None) -> DataFrame:
+    """Documents and micro-batches of a landing stream over four files, as its progress events report them."""
     src = _source_files(spark, d, "stream-src")
-    q = ST.stream_landing(spark, src, shared_dir(spark, "stream-landing"), shared_dir(spark, "ckpt"))
-    return ST.stream_progress(spark, q)
+    collector = ProgressCollector()
+    q = watched(spark, lambda: ST.stream_landing(spark, src, shared_dir(spark, "stream-landing"), shared_dir(spark, "ckpt"),
+                                                 max_files_per_trigger=files), collector)
+    return spark.createDataFrame([collector.totals(str(q.id))], "total_docs bigint, batches bigint")
+
+
+def _totals_sql(batches: int) -> str:
+    return f"WITH {Q.log_lines_cte()} SELECT count(*) AS total_docs, CAST({batches} AS BIGINT) AS batches FROM log_lines"
 
 
-@register("rate_limit")
+@register("stream_progress", _totals_sql(1))
+def q_stream_progress(spark, d):
+    return _stream_totals(spark, d, None)
+
+
+@register("rate_limit", _totals_sql(4))
 def q_rate_limit(spark, d):
-    src = _source_files(spark, d, "stream-src")
-    q = ST.stream_landing(spark, src, shared_dir(spark, "stream-landing"), shared_dir(spark, "ckpt"),
-                          max_files_per_trigger=1)
-    return ST.stream_progress(spark, q)
+    return _stream_totals(spark, d, 1)

@@ -82,12 +82,16 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local runs and tests) a private folder
-    is created and registered as the checkpoint directory.
+    Only a local session without one (tests) gets a private folder, which is
+    registered as the checkpoint directory; on a cluster executors would each
+    write to a folder of their own, so there a missing setting is an error.
     """
     root = _configured_checkpoint_dir(spark)
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="emberwall-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(local)
@@ -110,22 +114,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan yields fewer splits than cores.
-
-    A small table stored as one row group is read by a single task, and every
-    row-local operator after it would run on one core. Large inputs already
-    have more splits than cores and pass through untouched (no shuffle added).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
-    """One of the driver's parquet tables (spread over all cores when it is small)."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread(df) if spread_small else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's parquet tables."""
+    return spark.read.parquet(table_path(sf_dir, name))

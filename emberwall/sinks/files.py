@@ -11,60 +11,90 @@ from pyspark.sql import functions as F
 from ..functions.constants import CHUNK_BYTES
 from ..operators.classify import drop_corrupt, to_curated
 from ..schemas import CURSOR_SCHEMA, PROGRESS_SCHEMA
-from ..sources.jsonl import ingest_project, with_partition_key
+from ..sources.jsonl import ingest_project, ingest_rejects, with_partition_key
 
-# A landing line is about 0.5 KiB; this turns the byte budget of a part into
-# a record budget (Spark cuts files by record count).
-_AVG_LINE_BYTES = 512
+DEDUP_TABLE_DDL = "id string, timestamp timestamp, ingest_ts timestamp, raw string, day string"
+#: Partition column of a stream's landing: a batch that is run again replaces its own folders.
+BATCH = "batch"
+
+
+def part_records(lines: DataFrame, chunk_bytes: int, value: str = "value") -> int:
+    """Records that make up ``chunk_bytes``, by the mean length of these lines (Spark cuts files by record count)."""
+    mean = lines.agg(F.avg(F.octet_length(value) + 1)).first()[0]
+    return max(1, int(chunk_bytes / mean)) if mean else 0
 
 
 def landing_write(lines: DataFrame, base: str, chunk_bytes: int = CHUNK_BYTES, value: str = "value",
-                  compression: str | None = None) -> DataFrame:
+                  compression: str | None = None, batch_id: int | None = None) -> DataFrame:
     """K1: original lines into ``base/dt=YYYY-MM-DD/hour=HH/part-*`` by event time (UTC).
 
     ``REBALANCE(dt, hour)`` clusters lines by partition so each folder gets
     few files, while adaptive execution splits a hot hour over several tasks
     (no single task ever holds a whole skewed hour) and merges tiny ones.
-    Parts are cut at about ``chunk_bytes``. Returns the keyed frame written.
+    Parts are cut at about ``chunk_bytes``, by the length of the lines at
+    hand. With ``batch_id`` the folders get a further level ``batch=N`` and
+    are replaced if the batch is written again. Returns the keyed frame written.
     """
-    keyed = with_partition_key(lines.select(F.col(value).alias("value")))
-    writer = (
-        keyed.hint("rebalance", "dt", "hour")
-        .write.mode("append")
-        .partitionBy("dt", "hour")
-        .option("maxRecordsPerFile", max(1, chunk_bytes // _AVG_LINE_BYTES))
-    )
+    only = lines.select(F.col(value).alias("value"))
+    keyed = with_partition_key(only)
+    dealt = keyed.hint("rebalance", "dt", "hour")
+    if batch_id is None:
+        writer = dealt.write.mode("append").partitionBy("dt", "hour")
+    else:
+        writer = (dealt.withColumn(BATCH, F.lit(int(batch_id))).write.mode("overwrite")
+                  .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "hour", BATCH))
+    writer = writer.option("maxRecordsPerFile", part_records(only, chunk_bytes))
     if compression:
         writer = writer.option("compression", compression)
     writer.text(base)
     return keyed
 
 
+def rejects_table(table: str) -> str:
+    """Where the lines that a dedup table could not take are kept, with the reason."""
+    return f"{table.rstrip('/')}__rejects"
+
+
 def dedup_append(lines: DataFrame, table: str, value: str = "value") -> None:
     """K2 write side: append ``(id, timestamp, ingest_ts, raw)`` to a day-partitioned table.
 
     Re-sent or replayed lines are harmless: the read side (``dedup_latest``)
-    keeps the newest ``ingest_ts`` per ``(timestamp, id)``.
+    keeps the newest ``ingest_ts`` per ``(timestamp, id)``. Lines that cannot
+    be used go to ``rejects_table`` next to it.
     """
+    ingest_rejects(lines, value).hint("rebalance").write.mode("append").option("compression", "zstd").parquet(
+        rejects_table(table))
     rows = ingest_project(lines, value).withColumn("day", F.date_format("timestamp", "yyyyMMdd"))
     (rows.hint("rebalance", "day").write.mode("append").partitionBy("day")
      .option("compression", "zstd").parquet(table))
 
 
-def read_dedup_table(spark: SparkSession, table: str) -> DataFrame:
-    """K2 read side: the raw rows (latest-wins applied by ``dedup_latest``)."""
-    return spark.read.parquet(table).select("id", "timestamp", "ingest_ts", "raw")
+def read_dedup_table(spark: SparkSession, table: str, first_day: str | None = None,
+                     last_day: str | None = None) -> DataFrame:
+    """K2 read side: the raw rows (latest-wins applied by ``dedup_latest``).
+
+    Days are ``yyyyMMdd``, inclusive; only their folders are read. All copies
+    of a key have one timestamp and so one day.
+    """
+    rows = spark.read.schema(DEDUP_TABLE_DDL).parquet(table)
+    if first_day:
+        rows = rows.where(F.col("day") >= first_day)
+    if last_day:
+        rows = rows.where(F.col("day") <= last_day)
+    return rows.select("id", "timestamp", "ingest_ts", "raw")
 
 
 def write_classified_csv(classified: DataFrame, path: str) -> bool:
     """K3: drop corrupt rows, write header CSV; nothing is written for an empty result.
 
+    Values are written as they are: spaces kept, quotes doubled (RFC 4180).
     The emptiness probe reads one row at most. Returns whether data was written.
     """
     kept = drop_corrupt(classified)
     if kept.isEmpty():
         return False
-    kept.write.mode("overwrite").option("header", True).csv(path)
+    (kept.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return True
 
 
@@ -105,6 +135,12 @@ def progress_json(snapshot: DataFrame) -> str:
     return json.dumps(row, separators=(",", ":"))
 
 
+def write_progress(spark: SparkSession, snapshot: dict, path: str) -> None:
+    """K5: the progress document at ``path`` (one JSON line; the newest replaces the one before)."""
+    row = spark.createDataFrame([(json.dumps(snapshot, separators=(",", ":")),)], "value string")
+    row.coalesce(1).write.mode("overwrite").text(path)
+
+
 ROLLUP_TABLES = ("firewall_stats_hourly", "firewall_top_ports", "firewall_suspicious_ips")
 
 

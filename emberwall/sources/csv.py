@@ -1,4 +1,4 @@
-"""Multi-file CSV scan with per-file headers."""
+"""CSV scan of many files, unioned by their headers."""
 
 from __future__ import annotations
 
@@ -14,48 +14,44 @@ from ..functions.text import null_tokens
 from ..operators.reshape import union_by_name
 
 
-def header_groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Group the files under ``path`` (a glob or folder) by their header line.
-
-    Distributed: each file's first split is scanned and the first line of
-    the split at offset 0 is its header. One ``(path, header)`` row per file
-    is streamed to the driver, which holds the file listing anyway; no task
-    ever gathers the paths of a group.
-    """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("pos"),
-    )
-    firsts = lines.where(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "pos").alias("header"))
-    groups: dict[str, list[str]] = {}
-    for r in firsts.toLocalIterator():
-        groups.setdefault(r["header"], []).append(r["path"])
-    return {h: sorted(p) for h, p in groups.items()}
-
-
-def header_columns(header: str, sep: str = ",") -> list[str]:
-    return next(_csv.reader([header], delimiter=sep))
+def csv_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the files that ``path`` (a file, folder or glob) names; only names are listed, no file is opened."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    folders = files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct()
+    return sorted(r["folder"] for r in folders.collect())
 
 
 def scan_csv(spark: SparkSession, path: str, groups: dict[str, Iterable[str]] | None = None,
-             sep: str = ",", tokens: Iterable[str] = NULL_TOKENS) -> DataFrame:
+             sep: str = ",", tokens: Iterable[str] = NULL_TOKENS, multi_line: bool = True) -> DataFrame:
     """S1+S2+P1: every CSV file under ``path``, unioned by column name.
 
-    Each header group is read with an all-string schema (no inference pass;
-    typed use goes through ``try_cast``), groups are unioned by name with
-    missing columns as null, and the null tokens become null.
-    ``groups`` (header -> files) skips discovery when already known.
+    Quoting is RFC 4180: a quote inside a quoted value is doubled, and a value
+    may hold newlines unless ``multi_line`` is off. (A file with newlines in
+    values cannot be split, so large inputs should be many files; without them
+    switch ``multi_line`` off and files are split.) Columns are text; typed use
+    goes through ``try_cast``. The files of one folder have one header, read
+    from one of them and checked against each, so a differing file fails
+    loudly; folders are unioned by name with missing columns as null, and the
+    null tokens become null. ``groups`` (header line -> files) is for files of
+    unlike headers in one folder.
     """
-    groups = groups if groups is not None else header_groups(spark, path)
+    def reader():
+        return (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+                .option("escape", '"').option("multiLine", multi_line))
+
     frames = []
-    for header, files in sorted(groups.items()):
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns(header, sep)])
-        frames.append(
-            spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-            .schema(schema).csv(list(files))
-        )
+    if groups is None:
+        pattern = path.rsplit("/", 1)[-1]
+        for folder in csv_folders(spark, path):
+            frame = reader().option("enforceSchema", False)
+            if "*" in pattern or "?" in pattern:
+                frame = frame.option("pathGlobFilter", pattern)
+            frames.append(frame.csv(folder))
+    else:
+        for header, files in sorted(groups.items()):
+            names = next(_csv.reader([header], delimiter=sep))
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+            frames.append(reader().schema(schema).option("enforceSchema", False).csv(list(files)))
     if not frames:
         raise FileNotFoundError(f"no CSV files under {path}")
     return null_tokens(union_by_name(frames), tokens)

@@ -8,9 +8,25 @@ from pyspark.sql import functions as F
 from ..functions.timefmt import first_present, parse_iso, partition_dt, partition_hour
 
 LANDING_SCHEMA = "value string, dt string, hour string"
-_INGEST_SCHEMA = "id string, timestamp string, ingest_ts string, _corrupt string"
-_TIME_SCHEMA = "timestamp string, `@timestamp` string"
-_JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+_INGEST_FIELDS = "id string, timestamp string, ingest_ts string"
+_TIME_FIELDS = "timestamp string, `@timestamp` string"
+_END = "__end_of_line__"
+
+
+def parsed_once(lines: DataFrame, value: str, fields: str) -> DataFrame:
+    """``lines`` with ``j``: the line's JSON fields as text, null where the line is not strict JSON.
+
+    The line is parsed as a member of an object that ends with a mark of its
+    own, so text after the line's JSON, which the parser would pass over,
+    makes the whole unreadable. Generating the parsed row (of one element)
+    keeps later filters and columns from parsing the line again.
+    """
+    whole = F.concat(F.lit('{"v":'), F.col(value), F.lit(f',"{_END}":1}}'))
+    schema = f"v struct<{fields.replace(' string', ': string')}>, {_END} int, _corrupt string"
+    j = F.from_json(whole, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
+                                    "allowSingleQuotes": "false"})
+    return lines.select("*", F.explode(F.array(j)).alias("__p")).select(
+        "*", F.when(F.col("__p._corrupt").isNull() & (F.col(f"__p.{_END}") == 1), F.col("__p.v")).alias("j")).drop("__p")
 
 
 def scan_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -18,26 +34,20 @@ def scan_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).text(path)
 
 
-def event_time(value: Column) -> Column:
-    """P4 time: first non-empty of ``timestamp`` / ``@timestamp``, parsed to an instant."""
-    j = F.from_json(value, _TIME_SCHEMA)
-    return parse_iso(first_present(j["timestamp"], j["@timestamp"]))
-
-
 def with_partition_key(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``dt``/``hour`` of each line in UTC; unusable -> ``unknown``/``00``."""
-    ts = event_time(F.col(value))
-    return lines.withColumns({"dt": partition_dt(ts), "hour": partition_hour(ts)})
+    """``dt``/``hour`` of each line in UTC from its first non-empty of ``timestamp`` / ``@timestamp``;
+
+    unusable (not strict JSON, no time or a bad one) -> ``unknown``/``00``.
+    """
+    timed = parsed_once(lines, value, _TIME_FIELDS).withColumn(
+        "__t", parse_iso(first_present(F.col("j.timestamp"), F.col("j.`@timestamp`"))))
+    return timed.withColumns({"dt": partition_dt(F.col("__t")), "hour": partition_hour(F.col("__t"))}).drop("j", "__t")
 
 
 def _parsed(lines: DataFrame, value: str) -> DataFrame:
-    j = F.from_json(F.col(value), _INGEST_SCHEMA, _JSON_OPTS)
-    return lines.select(F.col(value).alias("raw"), j.alias("j")).select(
-        "raw",
-        F.col("j.id").alias("id"),
-        F.col("j.timestamp").alias("_ts"),
-        F.col("j.ingest_ts").alias("_its"),
-        (F.col("j").isNull() | F.col("j._corrupt").isNotNull()).alias("_bad_json"),
+    return parsed_once(lines.select(F.col(value).alias("raw")), "raw", _INGEST_FIELDS).select(
+        "raw", F.col("j.id").alias("id"), F.col("j.timestamp").alias("_ts"), F.col("j.ingest_ts").alias("_its"),
+        F.col("j").isNull().alias("_bad_json"),
     ).withColumns({
         "timestamp": F.date_trunc("millisecond", parse_iso(F.col("_ts"))),
         "ingest_ts": F.date_trunc("millisecond", parse_iso(F.col("_its"))),
@@ -84,7 +94,7 @@ def scan_landing(spark: SparkSession, base: str) -> DataFrame:
     Giving the schema fixes the partition column types, so no type inference
     is needed; filters on ``dt``/``hour`` prune whole folders.
     """
-    return spark.read.schema(LANDING_SCHEMA).option("basePath", base).text(base)
+    return spark.read.schema(LANDING_SCHEMA).option("basePath", base).text(base).select("value", "dt", "hour")
 
 
 def landing_inventory(spark: SparkSession, base: str) -> DataFrame:

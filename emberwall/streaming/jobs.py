@@ -15,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.classify import analyze_batch, to_curated
 from ..schemas import RAW_DDL
-from ..sinks.files import dedup_append
-from ..sources.jsonl import ingest_project, with_partition_key
+from ..functions.constants import CHUNK_BYTES
+from ..operators.dedup import dedup_latest
+from ..sinks.files import dedup_append, landing_write
+from ..sources.jsonl import ingest_project
 
 
 def _trigger(writer, trigger: str | None):
@@ -25,6 +27,13 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+def _run(writer, checkpoint: str, trigger: str | None, wait: bool) -> StreamingQuery:
+    q = _trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
+    if wait:
+        q.awaitTermination()
+    return q
+
+
 def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None,
                 max_bytes_per_trigger: str | None = None) -> DataFrame:
     """ST1/ST3 source: lines of new files under ``source``.
@@ -42,30 +51,34 @@ def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | N
 
 
 def stream_landing(spark: SparkSession, source: str, base: str, checkpoint: str, trigger: str | None = None,
-                   max_files_per_trigger: int | None = None, wait: bool = True) -> StreamingQuery:
-    """ST1: lines into the ``dt=/hour=`` landing zone (exactly-once file sink)."""
-    keyed = with_partition_key(line_stream(spark, source, max_files_per_trigger))
-    writer = (keyed.writeStream.format("text").partitionBy("dt", "hour")
-              .option("path", base).option("checkpointLocation", checkpoint))
-    q = _trigger(writer, trigger).start()
-    if wait:
-        q.awaitTermination()
-    return q
+                   max_files_per_trigger: int | None = None, wait: bool = True,
+                   max_bytes_per_trigger: str | None = None, chunk_bytes: int = CHUNK_BYTES) -> StreamingQuery:
+    """ST1: lines into the ``dt=/hour=`` landing zone, each micro-batch by the batch writer (K1).
+
+    A batch is clustered by hour and cut into parts by bytes; one that is
+    delivered again replaces its own ``batch=N`` folders, so lines land once.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read once for the length of its lines and for their landing
+        try:
+            landing_write(batch, base, chunk_bytes, batch_id=batch_id)
+        finally:
+            batch.unpersist()
+
+    lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger)
+    return _run(lines.writeStream.foreachBatch(land), checkpoint, trigger, wait)
 
 
 def stream_upsert(spark: SparkSession, source: str, table: str, checkpoint: str, trigger: str | None = None,
-                  max_files_per_trigger: int | None = None, wait: bool = True) -> StreamingQuery:
-    """ST2: lines into the dedup table through ``foreachBatch``.
+                  max_files_per_trigger: int | None = None, wait: bool = True,
+                  max_bytes_per_trigger: str | None = None) -> StreamingQuery:
+    """ST2: lines into the dedup table through ``foreachBatch``; unusable ones into its rejects.
 
     At-least-once delivery is made idempotent by the latest-wins read side.
     """
-    lines = line_stream(spark, source, max_files_per_trigger)
-    writer = (lines.writeStream.foreachBatch(lambda batch, _bid: dedup_append(batch, table))
-              .option("checkpointLocation", checkpoint))
-    q = _trigger(writer, trigger).start()
-    if wait:
-        q.awaitTermination()
-    return q
+    lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger)
+    writer = lines.writeStream.foreachBatch(lambda batch, _bid: dedup_append(batch, table))
+    return _run(writer, checkpoint, trigger, wait)
 
 
 def parse_records(lines: DataFrame, schema: str = RAW_DDL) -> DataFrame:
@@ -87,6 +100,7 @@ def stream_classify(spark: SparkSession, source: str, out: str, checkpoint: str,
     return q
 
 
+INGEST_DDL = "id string, timestamp timestamp, ingest_ts timestamp, raw string"
 _ROLLUP_KEYS = ("hour_timestamp", "firewall_id", "protocol", "action")
 
 
@@ -108,20 +122,17 @@ def rollup_partials(curated: DataFrame) -> DataFrame:
         F.col("timestamp").isNotNull() & F.col("firewall_id").isNotNull()
         & F.col("protocol").isNotNull() & F.col("action").isNotNull()
     ).withColumn("hour_timestamp", F.date_trunc("hour", "timestamp"))
-    measures = keyed.groupBy(*_ROLLUP_KEYS).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.sum("bytes").alias("bytes"),
-        F.sum("duration_ms").cast("bigint").alias("dur_sum"),
-        F.count("duration_ms").alias("dur_n"),
-    ).withColumns({"kind": F.lit("m"), "ip": F.lit(None).cast("string")})
-    addrs = keyed.select(
-        *_ROLLUP_KEYS,
-        F.inline(F.array(
-            F.struct(F.lit("s").alias("kind"), F.col("src_ip").alias("ip")),
-            F.struct(F.lit("d").alias("kind"), F.col("dst_ip").alias("ip")),
-        )),
-    ).where(F.col("ip").isNotNull()).distinct()
-    return measures.unionByName(addrs, allowMissingColumns=True)
+    # one pass: each record as its measures and as its two addresses, grouped by kind and address
+    pieces = keyed.select(*_ROLLUP_KEYS, F.inline(F.array(
+        F.struct(F.lit("m").alias("kind"), F.lit(None).cast("string").alias("ip"), F.lit(1).alias("one"),
+                 F.col("bytes").alias("bytes"), F.col("duration_ms").alias("ms")),
+        *[F.struct(F.lit(k).alias("kind"), F.col(c).alias("ip"), F.lit(None).cast("int").alias("one"),
+                   F.lit(None).cast("bigint").alias("bytes"), F.lit(None).cast("int").alias("ms"))
+          for k, c in (("s", "src_ip"), ("d", "dst_ip"))],
+    ))).where((F.col("kind") == "m") | F.col("ip").isNotNull())
+    return pieces.groupBy(*_ROLLUP_KEYS, "kind", "ip").agg(
+        F.count("one").alias("events"), F.sum("bytes").alias("bytes"), F.sum("ms").cast("bigint").alias("dur_sum"),
+        F.count("ms").alias("dur_n"))
 
 
 def write_partials(batch: DataFrame, batch_id: int, table: str) -> None:
@@ -162,14 +173,18 @@ def stream_hourly_rollup(spark: SparkSession, source: str, table: str, checkpoin
     return q
 
 
-def windowed_hourly_rollup(curated_stream: DataFrame, watermark: str = "1 hour", rsd: float = 0.01) -> DataFrame:
-    """ST6, stateful variant for live dashboards: event-time windows with a watermark.
+def windowed_hourly_rollup(curated_stream: DataFrame, watermark: str | None = None, rsd: float = 0.01) -> DataFrame:
+    """ST6, stateful variant for live dashboards: event-time windows, in update mode.
 
-    State is bounded: additive measures plus HLL++ sketches for the distinct
-    counts (exact distinct is not supported on streams). Use update mode.
+    Without a ``watermark`` every record counts, however late, and the state
+    has a row for each hour, firewall, protocol and action seen. A watermark
+    bounds the state and gives up records later than it. Distinct counts are
+    HLL++ sketches (exact distinct is not supported on streams).
     """
+    if watermark:
+        curated_stream = curated_stream.withWatermark("timestamp", watermark)
     return (
-        curated_stream.withWatermark("timestamp", watermark)
+        curated_stream
         .groupBy(F.window("timestamp", "1 hour"), "firewall_id", "protocol", "action")
         .agg(
             F.count(F.lit(1)).alias("total_events"),
@@ -183,35 +198,27 @@ def windowed_hourly_rollup(curated_stream: DataFrame, watermark: str = "1 hour",
     )
 
 
-def stream_dedup(spark: SparkSession, source: str, out: str, checkpoint: str, watermark: str = "1 hour",
-                 trigger: str | None = None, max_files_per_trigger: int | None = None,
-                 wait: bool = True) -> StreamingQuery:
-    """ST7: one record per ``(timestamp, id)``; the first copy wins.
+def write_latest(batch: DataFrame, batch_id: int, table: str) -> None:
+    """Latest version of each key in one micro-batch, in its own ``batch_id=N`` folder (idempotent per id)."""
+    dedup_latest(ingest_project(batch)).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
-    ``dropDuplicatesWithinWatermark`` keeps state only for keys newer than
-    the watermark, so state stays bounded on an endless stream.
-    """
-    rows = ingest_project(line_stream(spark, source, max_files_per_trigger))
-    deduped = rows.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["timestamp", "id"])
-    writer = (deduped.writeStream.format("parquet").option("path", out)
-              .option("checkpointLocation", checkpoint))
-    q = _trigger(writer, trigger).start()
-    if wait:
-        q.awaitTermination()
-    return q
 
+def read_stream_dedup(spark: SparkSession, table: str) -> DataFrame:
+    """ST7 read side: the latest version of each key over all batches."""
+    return dedup_latest(spark.read.schema(INGEST_DDL).parquet(table).select("id", "timestamp", "ingest_ts", "raw"))
 
-def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """ST4: per micro-batch input rows and rates from the query's progress reports."""
-    rows = [
-        (int(p.get("batchId", -1)), int(p.get("numInputRows", 0)),
-         float(p.get("inputRowsPerSecond") or 0.0), float(p.get("processedRowsPerSecond") or 0.0))
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(
-        rows, "batch_id BIGINT, num_input_rows BIGINT, input_rows_per_second DOUBLE, "
-              "processed_rows_per_second DOUBLE",
-    )
+
+def stream_dedup(spark: SparkSession, source: str, table: str, checkpoint: str, trigger: str | None = None,
+                 max_files_per_trigger: int | None = None, wait: bool = True,
+                 max_bytes_per_trigger: str | None = None) -> StreamingQuery:
+    """ST7: one record per ``(timestamp, id)``, the one with the greatest ``ingest_ts``.
+
+    Each micro-batch stores its own latest versions and the read side resolves
+    them, so nothing is given up for being late and there is no state to bound.
+    """
+    lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger)
+    writer = lines.writeStream.foreachBatch(lambda batch, bid: write_latest(batch, bid, table))
+    return _run(writer, checkpoint, trigger, wait)
 
 
 def write_window_updates(batch: DataFrame, batch_id: int, table: str) -> None:
@@ -229,14 +236,13 @@ def read_window_rollup(spark: SparkSession, table: str) -> DataFrame:
 
 
 def stream_window_rollup(spark: SparkSession, source: str, table: str, checkpoint: str,
-                         watermark: str = "1 hour", trigger: str | None = None,
+                         watermark: str | None = None, trigger: str | None = None,
                          max_files_per_trigger: int | None = None, wait: bool = True) -> StreamingQuery:
-    """ST6, event-time variant: watermark + hourly tumbling window, update mode.
+    """ST6, event-time variant: hourly tumbling window, update mode.
 
     Each micro-batch emits the windows it changed; they are stored per batch
-    id and ``read_window_rollup`` keeps the newest state per window. Records
-    later than the watermark are dropped (standard late-data policy); distinct
-    counts are HLL++ sketches so state stays bounded.
+    id and ``read_window_rollup`` keeps the newest state per window. Only an
+    explicit ``watermark`` gives up late records.
     """
     records = parse_records(line_stream(spark, source, max_files_per_trigger))
     curated = to_curated(analyze_batch(records)).where(

@@ -6,16 +6,17 @@ from conftest import SF001
 from emberwall import cli
 from emberwall.fixtures import fw_raw, log_lines
 from emberwall.session import shared_dir
+from emberwall.sources.csv import scan_csv
 
 
 def test_classify_and_curate(spark, capsys):
     src = shared_dir(spark, "t-cli-csv")
-    fw_raw(spark, SF001).coalesce(2).write.option("header", True).csv(src)
+    fw_raw(spark, SF001).coalesce(2).write.option("header", True).option("escape", '"').csv(src)
     out = shared_dir(spark, "t-cli-out")
     assert cli.main(["classify", f"{src}/*.csv", out]) == 0
     stats = capsys.readouterr().out
     assert '"attacks"' in stats
-    assert spark.read.option("header", True).csv(out).count() == fw_raw(spark, SF001).count()
+    assert scan_csv(spark, out).count() == fw_raw(spark, SF001).count()
     base = shared_dir(spark, "t-cli-cur")
     assert cli.main(["curate", f"{src}/*.csv", base]) == 0
     for t in ("firewall_logs", "firewall_stats_hourly", "firewall_top_ports", "firewall_suspicious_ips"):

@@ -4,6 +4,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from emberwall.fixtures import fw_raw, log_lines
+from emberwall.plans.catalog import QUERIES
+from emberwall.sources.jsonl import ingest_project, ingest_rejects, with_partition_key
 
 FORBIDDEN = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
              "BroadcastNestedLoopJoin", "BroadcastExchange", "BroadcastHashJoin")
@@ -13,7 +16,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_udf_no_cartesian_no_broadcast(spark, key):
     plan = plan_of(E.queries()[key](spark, SF001))
     for word in FORBIDDEN:
@@ -22,9 +25,14 @@ def test_no_udf_no_cartesian_no_broadcast(spark, key):
 
 def test_classification_is_narrow(spark):
     plan = plan_of(E.queries()["analyze_batch"](spark, SF001))
-    # the only exchange allowed spreads a single-split input over the cores
-    assert plan.count("Exchange") <= 1
-    assert "RoundRobinPartitioning" in plan or "Exchange" not in plan
+    # the only exchange is the fixture's, which deals its records by id
+    assert plan.count("Exchange") == plan_of(fw_raw(spark, SF001)).count("Exchange")
+
+
+def test_a_line_is_parsed_once(spark):
+    lines = log_lines(spark, SF001)
+    for frame in (ingest_project(lines), ingest_rejects(lines), with_partition_key(lines)):
+        assert plan_of(frame).count("from_json") == 1
 
 
 def test_paging_is_bounded_top_k(spark):

@@ -23,7 +23,7 @@ def test_hot_hour_is_split_over_writers(spark):
     lines = _hot_hour_lines(spark)
     base = shared_dir(spark, "t-skew")
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
     try:
         landing_write(lines, base)
     finally:

@@ -1,14 +1,20 @@
 """Streaming jobs: restart from checkpoint, replay idempotency, stream = batch."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from emberwall.fixtures import log_lines
+from emberwall.fixtures import fw_raw, log_lines
+from emberwall.operators.aggregates import hourly_rollup
+from emberwall.operators.classify import analyze_batch, to_curated
 from emberwall.operators.dedup import dedup_latest
 from emberwall.session import shared_dir
-from emberwall.sinks.files import read_dedup_table
-from emberwall.sources.jsonl import ingest_project, scan_landing
+from emberwall.sinks.files import read_dedup_table, write_progress
+from emberwall.sources.jsonl import ingest_project, landing_inventory, scan_landing
 from emberwall.streaming import jobs as ST
+from emberwall.streaming.progress import BATCHES_KEPT, ProgressCollector, watched
 
 
 def _split_sources(spark, src):
@@ -48,28 +54,66 @@ def test_upsert_replay_is_idempotent(spark):
 def test_rate_limit_admits_one_file_per_batch(spark):
     src = shared_dir(spark, "t-src")
     log_lines(spark, SF001).repartition(3).write.text(src)
-    q = ST.stream_landing(spark, src, shared_dir(spark, "t-land"), shared_dir(spark, "t-ckpt"),
-                          max_files_per_trigger=1)
-    prog = ST.stream_progress(spark, q)
-    assert prog.where("num_input_rows > 0").count() == 3
-
+    collector = ProgressCollector()
+    q = watched(spark, lambda: ST.stream_landing(spark, src, shared_dir(spark, "t-land"), shared_dir(spark, "t-ckpt"),
+                                                 max_files_per_trigger=1), collector)
+    assert collector.totals(str(q.id)) == (log_lines(spark, SF001).count(), 3)
 
-def test_progress_listener_snapshots(spark):
-    from emberwall.streaming.progress import ProgressCollector
 
-    src = shared_dir(spark, "t-src")
+def test_progress_snapshots_and_document(spark):
+    src, base = shared_dir(spark, "t-src"), shared_dir(spark, "t-land")
     log_lines(spark, SF001).repartition(2).write.text(src)
-    snaps = []
-    collector = ProgressCollector(every_docs=500, on_snapshot=snaps.append)
-    spark.streams.addListener(collector)
-    try:
-        q = ST.stream_landing(spark, src, shared_dir(spark, "t-land"), shared_dir(spark, "t-ckpt"),
-                              max_files_per_trigger=1)
-        qid = str(q.id)
-        assert collector.wait_for(qid, 2)
-        total = sum(b[2] for b in collector.batches if b[0] == qid)
-        assert total == log_lines(spark, SF001).count()
-        assert snaps and snaps[-1]["total_docs"] == total
-        assert collector.to_frame(spark, qid).first()["total_docs"] == total
-    finally:
-        spark.streams.removeListener(collector)
+    document, snaps = shared_dir(spark, "t-doc"), []
+
+    def write(snap):
+        snaps.append(snap)
+        write_progress(spark, snap, document)
+
+    collector = ProgressCollector(every_docs=500, on_snapshot=write,
+                                  count_parts=lambda: landing_inventory(spark, base).first()["files"])
+    watched(spark, lambda: ST.stream_landing(spark, src, base, shared_dir(spark, "t-ckpt"), max_files_per_trigger=1),
+            collector)
+    total = log_lines(spark, SF001).count()
+    assert len(snaps) >= 2 and snaps[-1]["total_docs"] == total
+    assert snaps[-1]["parts_written"] == landing_inventory(spark, base).first()["files"]
+    stored = json.loads(spark.read.text(document).first()[0])
+    assert stored["total_docs"] == total and set(stored) == {"total_docs", "parts_written", "elapsed_sec", "rate_rps", "updated_at"}
+    assert len(collector.batches) <= BATCHES_KEPT
+
+
+def test_a_failing_progress_write_only_warns():
+    def fail(_snap):
+        raise OSError("full")
+
+    collector = ProgressCollector(on_snapshot=fail)
+    with pytest.warns(UserWarning, match="full"):
+        collector._emit("q")
+
+
+@pytest.mark.parametrize("files", [4, 2, 1])
+def test_results_do_not_depend_on_how_files_are_batched(spark, files):
+    src, fw = shared_dir(spark, "t-src"), shared_dir(spark, "t-fw")
+    lines, raw = log_lines(spark, SF001), fw_raw(spark, SF001)
+    lines.repartition(4).write.text(src)
+    raw.select(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in raw.columns])).alias("value")).repartition(4).write.text(fw)
+
+    def run(job, source, purpose):
+        out = shared_dir(spark, purpose)
+        job(spark, source, out, shared_dir(spark, "t-ckpt"), max_files_per_trigger=files)
+        return out
+
+    want = dedup_latest(ingest_project(lines))
+    for got in (ST.read_stream_dedup(spark, run(ST.stream_dedup, src, "t-st7")),
+                dedup_latest(read_dedup_table(spark, run(ST.stream_upsert, src, "t-st2")))):
+        assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
+    landed = scan_landing(spark, run(ST.stream_landing, src, "t-st1"))
+    assert landed.count() == lines.count()
+    classified = spark.read.parquet(run(ST.stream_classify, fw, "t-st5"))
+    assert classified.count() == raw.count()
+    curated = to_curated(analyze_batch(raw))
+    rollup = hourly_rollup(curated)
+    exact = ST.read_hourly_rollup(spark, run(ST.stream_hourly_rollup, fw, "t-st6"))
+    assert exact.select(*rollup.columns).exceptAll(rollup).count() == 0 and exact.count() == rollup.count()
+    keys = ["hour_timestamp", "firewall_id", "protocol", "action", "total_events", "total_bytes"]
+    windows = ST.read_window_rollup(spark, run(ST.stream_window_rollup, fw, "t-st6w"))
+    assert windows.select(*keys).exceptAll(rollup.select(*keys)).count() == 0 and windows.count() == rollup.count()
