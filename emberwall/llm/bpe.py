@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from .common import table
+from .common import table, workers_import_this
 
 #: Words a worker remembers before it starts anew, and characters of text worked on at a time.
 WORDS_KEPT = 300_000
@@ -196,6 +196,7 @@ class _Definition:
             path = public_tokenizers.path("word_bpe_49k.json")
         with open(path, encoding="utf-8") as f:
             text = f.read()
+        workers_import_this(spark)
         self.id = hashlib.sha256(text.encode()).hexdigest()
         self.held = spark.sparkContext.broadcast(text)
 

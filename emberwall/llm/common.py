@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from emberwall.session import shared_dir
@@ -10,6 +12,19 @@ from emberwall.session import shared_dir
 WORD_RUN = r"[^\x20\x09-\x0D]++"
 
 
+def workers_import_this(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    That serves local sessions and clusters that share the folder, whatever the
+    working directory; elsewhere the package comes with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, by any path that Spark can read."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -23,6 +38,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     take all of the driver's memory.
     """
     spark = df.sparkSession
+    workers_import_this(spark)
     path = shared_dir(spark, "scratch")
     df.write.parquet(path)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
