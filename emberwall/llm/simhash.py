@@ -91,32 +91,34 @@ def _key(docs: DataFrame, id_col: str, text: str) -> list[Column]:
             F.xxhash64(F.lit(1), body).alias("k2")]
 
 
+_KEY = ["k0", "k1", "k2"]
+
+
 def with_next_edit(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Documents in descending order of id, each with an edited text, and the order itself.
 
-    Returns (place, text, edited) and (place, id, n_chars, copies): the last
+    Returns (key, body, edited) and (place, id, key, n_chars, copies): the last
     third of a text gives way to as much of the beginning of the next one's.
-    Rows equal in id and text are one document; a null id comes last, texts of
-    one id are ordered by hash; the first follows the last.
+    Rows equal in id and text are one document (though still rows of the
+    first frame); a null id comes last, texts of one id are ordered by hash;
+    the first follows the last. Whole texts are dealt out once, by key, and
+    their beginnings once more.
     """
-    key = ["k0", "k1", "k2"]
     rows = docs.select(docs[id_col].alias("id"), *_key(docs, id_col, text),
                        F.coalesce(F.length(docs[text]), F.lit(0)).cast("long").alias("n_chars"))
-    distinct = rows.groupBy("id", *key, "n_chars").agg(F.count("*").alias("copies"))
+    distinct = rows.groupBy("id", *_KEY, "n_chars").agg(F.count("*").alias("copies"))
     order = cut_lineage(numbered(distinct, F.col("id").desc_nulls_last(), F.col("k1"), F.col("k2")))
-    total = order.count()
-    before = order.select(F.pmod(F.col("place") + 1, F.lit(max(total, 1))).alias("place"),
-                          F.col("place").alias("to"), F.floor(F.col("n_chars") / 3).cast("int").alias("wanted"))
-    sends = order.join(before, "place").select(*key, "place", "to", "wanted")
-    bodies = docs.select(*_key(docs, id_col, text), F.coalesce(docs[text], F.lit("")).alias("body")).join(sends, key)
-    own = F.struct(F.col("place").alias("place"), F.col("body").alias("text"), F.lit(None).cast("string").alias("start"))
-    start = F.struct(F.col("to").alias("place"), F.lit(None).cast("string").alias("text"),
-                     F.substring(F.col("body"), F.lit(1), F.col("wanted")).alias("start"))
-    met = bodies.select(F.explode(F.array(own, start)).alias("x")).groupBy("x.place").agg(
-        F.max("x.text").alias("text"), F.max("x.start").alias("start"))
-    n = F.length("text")
-    kept = F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 3)).cast("int"))
-    return met.select("place", "text", F.concat(kept, F.col("start")).alias("edited")), order
+    total = max(order.count(), 1)
+    target = order.select(F.pmod(F.col("place") + 1, F.lit(total)).alias("place"), *[F.col(k).alias(f"to_{k}") for k in _KEY],
+                          F.floor(F.col("n_chars") / 3).cast("int").alias("wanted"))
+    sends = cut_lineage(order.join(target, "place").select(*_KEY, *[f"to_{k}" for k in _KEY], "wanted"))
+    bodies = docs.select(*_key(docs, id_col, text), F.coalesce(docs[text], F.lit("")).alias("body")).join(sends, _KEY)
+    starts = (bodies.select(*[F.col(f"to_{k}").alias(k) for k in _KEY],
+                            F.substring(F.col("body"), F.lit(1), F.col("wanted")).alias("start"))
+              .groupBy(*_KEY).agg(F.max("start").alias("start")))
+    n = F.length("body")
+    kept = F.substring(F.col("body"), F.lit(1), (n - F.floor(n / 3)).cast("int"))
+    return bodies.join(starts, _KEY).select(*_KEY, "body", F.concat(kept, F.col("start")).alias("edited")), order
 
 
 def fingerprint_report(docs: DataFrame, query: Column | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -128,17 +130,14 @@ def fingerprint_report(docs: DataFrame, query: Column | None = None, id_col: str
     result; an empty table gives none. Other columns are not returned.
     """
     edited, order = with_next_edit(docs, id_col, text)
-    both = edited.select("place", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("text").alias("text"), F.lit(None).cast("string").alias("sha")),
-        F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"), F.sha2("edited", 256).alias("sha")))).alias("x"))
-    both = both.select("place", "x.kind", "x.sha", "x.text")
-    prints = fingerprints(both, ["place", "kind", "sha"], "text")
-    prints = cut_lineage(prints.groupBy("place").agg(
-        F.max("sha").alias("edited_sha256"), F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("own"),
-        F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))).alias("edit")))
+    # both texts' votes are summed where the texts are
+    own = fingerprints(edited.select(*_KEY, "body"), _KEY, "body").withColumnRenamed("fingerprint", "own")
+    edits = fingerprints(edited.select(*_KEY, F.sha2("edited", 256).alias("edited_sha256"), "edited"),
+                         [*_KEY, "edited_sha256"], "edited").withColumnRenamed("fingerprint", "edit")
+    prints = cut_lineage(order.join(own, _KEY).join(edits, _KEY).drop(*_KEY))
     total = max(order.count(), 1)
     following = prints.select(F.pmod(F.col("place") - 1, F.lit(total)).alias("place"), F.col("own").alias("next"))
-    out = cut_lineage(order.join(prints, "place").join(following, "place"))
+    out = cut_lineage(prints.join(following, "place"))
     near = F.lit(None).cast("long")
     if query is not None:
         counts = cut_lineage(out.groupBy(F.col("own").alias("fingerprint")).agg(F.sum("copies").alias("n")))
