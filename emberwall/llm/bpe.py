@@ -23,10 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from .common import table, workers_import_this
+from .common import table, prepare_workers
 
 #: Words a worker remembers before it starts anew, and characters of text worked on at a time.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 BLOCK_CHARS = 1 << 20
 
 _CONTRACTION = "'s|'t|'re|'ve|'m|'ll|'d|"
@@ -113,7 +113,7 @@ class TrieBpe:
                 gone_b, b = rb, self.parts[b][0]
             else:  # one rule makes both: from the left, so the right one is undone first
                 gone_b, b = rb, self.parts[b][0]
-        if len(self.neighbours) > 400_000:
+        if len(self.neighbours) > 200_000:
             self.neighbours.clear()
         self.neighbours[key] = result
         return result
@@ -196,7 +196,7 @@ class _Definition:
             path = public_tokenizers.path("word_bpe_49k.json")
         with open(path, encoding="utf-8") as f:
             text = f.read()
-        workers_import_this(spark)
+        prepare_workers(spark)
         self.id = hashlib.sha256(text.encode()).hexdigest()
         self.held = spark.sparkContext.broadcast(text)
 

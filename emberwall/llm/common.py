@@ -12,17 +12,26 @@ from emberwall.session import shared_dir
 WORD_RUN = r"[^\x20\x09-\x0D]++"
 
 
-def workers_import_this(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+#: Idle Python workers stay, so what a task frees goes back to the system: large blocks at once, others when they
+#: add up, and Arrow's like all else.
+_WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "262144", "MALLOC_ARENA_MAX": "2",
+                  "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
-    That serves local sessions and clusters that share the folder, whatever the
-    working directory; elsewhere the package comes with ``--py-files``.
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, and give freed memory back.
+
+    The first serves local sessions and clusters that share the folder, whatever
+    the working directory; elsewhere the package comes with ``--py-files``.
+    Settings that the environment has already are left as they are.
     """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    for name, value in _WORKER_MEMORY.items():
+        env.setdefault(name, os.environ.get(name, value))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +47,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     take all of the driver's memory.
     """
     spark = df.sparkSession
-    workers_import_this(spark)
+    prepare_workers(spark)
     path = shared_dir(spark, "scratch")
     df.write.parquet(path)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import cut_lineage, table, word_count, workers_import_this
+from .common import cut_lineage, table, word_count, prepare_workers
 from .graph import components
 from .shingles import mixed, shingle_sets
 
@@ -103,7 +103,7 @@ def signatures(docs: DataFrame, id_col: str, text: str, size: int, coordinates:
                 [batch.column(0), batch.column(2), batch.column(3), *(pa.array(x, pa.int64()) for x in (n, k1, k2)),
                  pa.array(rows, pa.list_(pa.int32()))], names=["id", "t1", "t2", "n", "k1", "k2", "signature"])
 
-    workers_import_this(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(docs[id_col].alias("id"), docs[text].alias("text"), *_text_key(docs[text])).mapInArrow(
         each, f"id {kind}, t1 long, t2 long, n long, k1 long, k2 long, signature array<int>")

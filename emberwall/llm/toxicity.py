@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import table, workers_import_this
+from .common import table, prepare_workers
 from .shingles import Runs, blocks
 
 SAMPLE_ROWS = 8_000
@@ -233,7 +233,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     scores the share of toxic ones. Rows are neither added nor lost; columns
     other than the id are not returned.
     """
-    workers_import_this(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights and a fixed bit table
 
     def each(batches):
@@ -250,7 +250,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text", limit: float = 0.5) -> DataFrame:
     """The documents whose score stays below ``limit``, their columns as they are."""
-    workers_import_this(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
