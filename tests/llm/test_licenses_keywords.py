@@ -1,10 +1,10 @@
-"""Keywords of the license rules against one example per alternative."""
+"""Keywords and gate of the license rules: one example per alternative, and the table, against rules without either."""
 
 import re
 from itertools import zip_longest
 from re import _parser
 
-from emberwall.llm.licenses import needed, rules, scan
+from emberwall.llm.licenses import GATE, needed, rules, scan
 
 
 def examples(parsed):
@@ -65,5 +65,31 @@ def test_every_example_has_keyword_and_gate():
         assert hits, p.pattern
         for x in hits:
             part = p.search(x)[0]
-            assert any(w in part for w in keywords.split("|")), (part, p.pattern)
+            assert any(w in part for w in keywords.split("|")) and any(w in part for w in GATE), (part, p.pattern)
             assert all(any(w in part for w in c) for c in needed(p.pattern)), (part, p.pattern)
+
+
+def test_examples_as_without_keywords(spark):
+    out = got(spark, SAMPLES)
+    for i, x in enumerate(SAMPLES):
+        assert out[i] == detections(lower(x)), x
+
+
+def test_table_as_without_keywords(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    out = got(spark, texts)
+    for i, x in enumerate(texts):
+        assert out[i] == detections(lower(x))
+    assert any(out.values())
+
+
+def test_alternatives_that_were_lost(spark):
+    lost = {"CC-BY-SA 4.0": "cc-by-sa", "published under Apache 2.0": "apache-2.0", "distributed with MPL 2.0": "mpl-2.0",
+            "see eclipse.org/legal/epl-2.0": "epl-2.0", "trade secrets of X": "proprietary", "scripts.sil.org/OFL": "ofl-1.1",
+            "covered  by the BSD": "bsd", "for academic purposes only": "research-only",
+            "for noncommercial use only": "non-commercial", "End-User Licence Agreement": "commercial",
+            "commercial licence agreement": "commercial", "dual licensed": "dual", "Expat license": "mit",
+            "Berkeley license": "bsd", "ASL 2.0 license": "apache-2.0", "University of Illinois license": "ncsa",
+            "published under the free\ndocumentation licence": "gfdl"}
+    out = got(spark, list(lost))
+    assert {x: [d[2] for d in out[i]] for i, x in enumerate(lost)} == {x: [label] for x, label in lost.items()}
