@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from emberwall.llm import bpe, linededup, minhash, mixing, toxicity
 from emberwall.llm.common import cut_lineage, table
 
+#: Near-duplicates share this share of their shingles of five words; a pair at 0.8 agrees in fewer than 36 of 64
+#: coordinates about four times in a million.
+NEAR_PERCENT, NEAR_MATCHES = 80, 36
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose noisy-or of sentence scores reaches one half go; learnt from the labels not held out."""
@@ -29,7 +33,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one of the smallest doc_id."""
-    return minhash.one_of_each(docs)
+    return minhash.one_of_each(docs, percent=NEAR_PERCENT, matches=NEAR_MATCHES)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
