@@ -3,7 +3,8 @@
 The fixed patterns' finds and values after a few seed words are the seed
 entities. What stands before an identifier-like value (its key or the word
 before it, and the kind of characters it is made of) is its lexical pattern.
-Patterns and values make a graph that Spark scores in rounds: a pattern is as
+Patterns and values make a graph that Spark scores in rounds until none is
+added; values found in one round are known in the next. A pattern is as
 sure as the share of its values that are known, a value as sure as the noisy-or
 of its patterns. Values that no fixed pattern has found but sure patterns
 surround are added. Only DataFrame operations.
@@ -30,7 +31,6 @@ CONTEXT = "context"
 
 #: Words whose values are seeds beside the fixed patterns' finds.
 SEED_KEYS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "ssn", "passport", "iban")
-ROUNDS = 3
 #: A pattern counts from so many known values and this share of them; a value from this score.
 LEAST_KNOWN, SURE_PATTERN, SURE_VALUE = 3, 0.8, 0.8
 
@@ -137,40 +137,56 @@ def _scanned(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                                     F.transform("listed", candidate).alias("candidates")))
 
 
-def pattern_scores(links: DataFrame, rounds: int = ROUNDS, least: int = LEAST_KNOWN) -> tuple[DataFrame, DataFrame]:
-    """Scores of the graph of (pattern, value, seed): (pattern, sure) and (value, score), by rounds.
+def pattern_scores(links: DataFrame, rounds: int | None = None, least: int = LEAST_KNOWN,
+                   own: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Scores of the graph of (pattern, value, seed): (pattern, sure) and (value, score).
 
-    Seeds stay at 1. A pattern needs ``least`` seeds among its values; its
-    score is the mean of theirs. A value's is the noisy-or of its patterns'.
+    Seeds stay at 1. A pattern needs ``least`` known values, seeds or values
+    that reached SURE_VALUE in an earlier round; its score is the mean of its
+    values'. A value's is the noisy-or of its patterns'. Without ``own``, what a
+    pattern has given a value does not count when the value rates that pattern.
+    After ``rounds``, or, if None, when a round adds no pattern and no value, it ends.
     """
     links = cut_lineage(links.groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
-    values = links.select("value").where("seed").distinct().withColumn("score", F.lit(1.0))
-    seeds = cut_lineage(values)
-    values = seeds
-    patterns = None
-    for _ in range(rounds):
-        patterns = cut_lineage(
-            links.join(values, "value", "left").groupBy("pattern")
-            .agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("sure"), F.sum(F.col("seed").cast("int")).alias("known"))
-            .where(F.col("known") >= least).select("pattern", "sure"))
-        doubt = F.sum(F.log(1 - F.least("sure", F.lit(0.999))))
-        reached = links.join(patterns, "pattern").groupBy("value").agg((1 - F.exp(doubt)).alias("score"))
-        values = cut_lineage(reached.join(seeds.select("value"), "value", "left_anti").union(seeds))
-    return patterns, values
-
-
-def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    seeds = cut_lineage(links.select("value").where("seed").distinct())
+    links = cut_lineage(links.drop("seed").join(seeds.withColumn("seed", F.lit(True)), "value", "left")
+                        .withColumn("seed", F.coalesce("seed", F.lit(False))))
+    doubt = F.log(1 - F.least("sure", F.lit(0.999)))
+    rated, before, done = links.withColumn("score", F.col("seed").cast("double")), None, 0
+    while True:
+        done += 1
+        counted = F.sum((F.col("seed") | (F.col("score") >= SURE_VALUE)).cast("int"))
+        patterns = cut_lineage(rated.groupBy("pattern").agg(F.avg("score").alias("sure"), counted.alias("known"))
+                               .where(F.col("known") >= least).select("pattern", "sure"))
+        with_doubt = cut_lineage(links.join(patterns.select("pattern", doubt.alias("doubt")), "pattern", "left"))
+        total = cut_lineage(with_doubt.groupBy("value", "seed").agg(F.sum("doubt").alias("total")).where(
+            F.col("seed") | F.col("total").isNotNull()))
+        values = total.select("value", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp("total")).alias("score"))
+        found = (patterns.count(), patterns.where(F.col("sure") >= SURE_PATTERN).count(),
+                 values.where(F.col("score") >= SURE_VALUE).count())
+        if found == before or done == rounds:
+            return patterns, values
+        before = found
+        left = F.col("total") if own else F.col("total") - F.coalesce("doubt", F.lit(0.0))
+        rated = with_doubt.join(total.drop("seed"), "value", "left").withColumn(
+            "score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce(1 - F.exp(left), F.lit(0.0))))
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rounds: int | None = None) -> DataFrame:
     """One row per document: id, email, ip, card, phone, context - each an array of (start, end) in code points.
 
     A null or empty text has empty arrays; repeated rows repeat; a null id is
     kept; an empty table gives no rows. Columns other than the id are not
-    returned. ``context`` never overlaps the others.
+    returned. ``context`` has all values after seed words, and never overlaps the others.
     """
     scanned = _scanned(docs, id_col, text)
     places = scanned.select("uid", F.explode("candidates").alias("c")).select("uid", "c.*")
-    patterns, values = pattern_scores(places.select("pattern", "value", (F.col("known") | F.col("seed")).alias("seed")), rounds)
-    sure = (places.where(~F.col("known")).join(patterns.where(F.col("sure") >= SURE_PATTERN).select("pattern"), "pattern")
+    patterns, values = pattern_scores(places.select("pattern", "value", (F.col("known") | F.col("seed")).alias("seed")), rounds,
+                                      own=False)
+    missed = places.where(~F.col("known"))
+    sure = (missed.where(~F.col("seed")).join(patterns.where(F.col("sure") >= SURE_PATTERN).select("pattern"), "pattern")
             .join(values.where(F.col("score") >= SURE_VALUE).select("value"), "value"))
+    sure = sure.select("uid", "start", "end").union(missed.where("seed").select("uid", "start", "end"))
     more = sure.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(CONTEXT))
     none = F.array().cast("array<struct<start:int,end:int>>")
     return scanned.join(more, "uid", "left").select(
