@@ -55,14 +55,14 @@ def usable(vector: Column) -> Column:
 class PackedTree:
     """Rows in packed order with the bounding boxes of their leaves and of the nodes above."""
 
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray):
-        self.vectors, self.ids = vectors, ids
-        starts = np.arange(0, len(ids), LEAF)
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, leaf: int = LEAF, fanout: int = FANOUT):
+        self.ids, self.leaf, self.fanout = ids, leaf, fanout
+        starts = np.arange(0, len(ids), leaf)
         low, high, first = (f.reduceat(x, starts, axis=0) for f, x in
                             ((np.minimum, vectors), (np.maximum, vectors), (np.minimum, ids)))
         self.levels = [(low, high, first)]
         while len(low) > 1:
-            starts = np.arange(0, len(low), FANOUT)
+            starts = np.arange(0, len(low), fanout)
             low, high, first = (f.reduceat(x, starts, axis=0) for f, x in
                                 ((np.minimum, low), (np.maximum, high), (np.minimum, first)))
             self.levels.append((low, high, first))
@@ -96,11 +96,11 @@ def best_first(tree: PackedTree, bounds, anchor: int, score_leaf, allowed, low:
         if -best < cut:
             break
         if level:
-            for child in range(node * FANOUT, min((node + 1) * FANOUT, len(tree.levels[level - 1][0]))):
+            for child in range(node * tree.fanout, min((node + 1) * tree.fanout, len(tree.levels[level - 1][0]))):
                 push(level - 1, child)
             continue
         found = score_leaf(node)[anchor]
-        at = node * LEAF
+        at = node * tree.leaf
         fits = np.flatnonzero(allowed[at: at + len(found)] & (found >= cut) & (found <= top))
         if not len(fits):
             continue
@@ -179,7 +179,7 @@ def _search(pairs: DataFrame, chunks: DataFrame, blocks: DataFrame, goals: DataF
             for line in batch.to_pylist():
                 a, b = ({c: np.frombuffer(line[c + x], np.int64) for c in names} for x in "ab")
                 av, bv = (x["vectors"].reshape(-1, width) if width else np.zeros((len(x["row"]), 0), np.int64) for x in (a, b))
-                tree = PackedTree(bv, b["key"])
+                tree = PackedTree(bv, b["key"], LEAF, FANOUT)
                 bounds, leaves = tree.bounds(av), {}
 
                 def score_leaf(node, av=av, bv=bv, leaves=leaves):
