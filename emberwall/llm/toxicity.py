@@ -197,9 +197,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def train(docs: DataFrame, labels: DataFrame, **columns) -> Model:
-    """The model of a bounded sample of labelled documents."""
-    sample = labelled_sample(docs, labels, **columns).toArrow()
-    return fit(sample.column("text").to_pylist(), sample.column("toxic").to_numpy())
+    """The model of a bounded sample of labelled documents, fitted in a task; only its weights reach the driver."""
+    prepare_workers(docs.sparkSession)
+
+    def each(batches):
+        sample = pa.Table.from_batches(batches, pa.schema([("text", pa.string()), ("toxic", pa.int32())]))
+        model = fit(sample.column("text").to_pylist(), sample.column("toxic").to_numpy())
+        yield pa.RecordBatch.from_pydict(
+            {"known": [model.known.tobytes()], "weights": [model.weights.tobytes()], "base": [model.base],
+             "constant": [model.constant]}, schema=pa.schema([("known", pa.binary()), ("weights", pa.binary()),
+                                                              ("base", pa.float64()), ("constant", pa.float64())]))
+
+    sample = labelled_sample(docs, labels, **columns).select(F.col("text").cast("string"), F.col("toxic").cast("int"))
+    row = sample.coalesce(1).mapInArrow(each, "known binary, weights binary, base double, constant double").first()
+    if row is None:  # nothing at all to learn from
+        return fit([], np.zeros(0))
+    return Model(np.frombuffer(row.known, np.uint64), np.frombuffer(row.weights), row.base, row.constant)
 
 
 def _scored(texts: Iterator[str | None], model: Model) -> Iterator[tuple[float, list[dict]]]:
