@@ -66,6 +66,38 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, combine) -> Column:
+    """Running sums (or the like, for an associative ``combine`` of two columns) of an array, in n log n steps.
+
+    Every step combines each value with the one 1, 2, 4, ... places before.
+    """
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+    return F.aggregate(rounds, values, lambda done, k: F.transform(done, lambda x, i: F.coalesce(
+        combine(x, F.get(done, i - F.call_function("shiftleft", F.lit(1), k))), x)))
+
+
+def match_spans(text: Column, pattern: str | Column) -> Column:
+    """Leftmost non-overlapping matches as (start, end, value, before), in code points and in time near-linear in them.
+
+    What lies between the matches adds up to where they begin; ``before`` is that part with the match before it.
+    """
+    regex = F.lit(pattern) if isinstance(pattern, str) else pattern
+    both = F.struct(F.regexp_extract_all(text, regex, F.lit(0)).alias("v"), F.split(text, regex, -1).alias("b"))
+
+    def placed(p):
+        lengths = F.transform(p["v"], lambda v, i: F.length(v) + F.length(F.get(p["b"], i)))
+        return let(running(lengths, lambda x, y: x + y), lambda ends: F.transform(p["v"], lambda v, i: F.struct(
+            (F.get(ends, i) - F.length(v)).alias("start"), F.get(ends, i).alias("end"), v.alias("value"),
+            F.concat(F.coalesce(F.get(p["v"], i - 1), F.lit("")), F.get(p["b"], i)).alias("before"))))
+
+    return let(both, placed)
+
+
 #: A side of a join is broadcast only when it has been counted and has at most so many narrow rows.
 BROADCAST_ROWS = 50_000
 

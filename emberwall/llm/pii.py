@@ -16,12 +16,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import cut_lineage, table
+from .common import cut_lineage, let, match_spans, running, table
 
-# The kinds in order and their patterns; possessive where nothing is given back.
+# The kinds in order and their patterns; possessive where nothing is given back. A match that cannot
+# start where a run of its characters (or what a match has left of it) starts cannot start within it.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -40,27 +41,31 @@ VALUE = rf"(?<![{_VALUE_CHARS}])(?=[A-Za-z+/_@%.-]*+[0-9])[{_VALUE_CHARS}]{{5,}}
 #: How far back a context reaches, in characters.
 REACH = 40
 
-_SPANS = "array<struct<start:int,end:int,value:string>>"
+_SPANS = "array<struct<start:int,end:int,value:string,before:string>>"
 
 
 def spans(text: Column, pattern: str, valid: Callable[[Column], Column] | None = None) -> Column:
-    """Leftmost non-overlapping matches that are ``valid`` as (start, end, value), in code points.
+    """Leftmost non-overlapping matches that are ``valid`` as (start, end, value, before), in code points."""
+    found = match_spans(text, pattern)
+    return found if valid is None else F.filter(found, lambda s: valid(s["value"]))
 
-    What lies between the matches adds up to where they begin.
+
+def overlapping(listed: Column, known: Column) -> Column:
+    """For each of the spans ``listed`` (in order, apart from each other), whether one of ``known`` overlaps it.
+
+    Both are put in order, known spans by start and listed ones by end; the
+    furthest end so far then tells.
     """
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    events = F.array_sort(F.concat(
+        F.transform(known, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("kind"), b["end"].alias("end"), F.lit(0).alias("start"))),
+        F.transform(listed, lambda c: F.struct(c["end"].alias("at"), F.lit(0).alias("kind"), F.lit(0).alias("end"), c["start"].alias("start")))))
 
-    def add(done, i):
-        value = F.get(found, i)
-        start = done["at"] + F.length(F.get(between, i))
-        end = start + F.length(value)
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), value.alias("value")))
-        kept = F.concat(done["kept"], one)
-        return F.struct(end.alias("at"), (kept if valid is None else F.when(valid(value), kept).otherwise(done["kept"])).alias("kept"))
+    def told(e):
+        furthest = running(F.transform(e, lambda x: x["end"]), lambda x, y: F.when(x > y, x).otherwise(y))
+        return F.transform(F.filter(F.zip_with(e, furthest, lambda x, f: F.struct(
+            x["kind"].alias("kind"), (f > x["start"]).alias("hit"))), lambda x: x["kind"] == 0), lambda x: x["hit"])
 
-    steps = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("kept"))
-    return F.aggregate(steps, start, add, lambda done: done["kept"])
+    return let(events, told)
 
 
 def _digits(value: Column) -> Column:
@@ -103,10 +108,9 @@ def _base(text: Column) -> dict[str, Column]:
             "phone": spans(F.when(text.contains("+"), text), PATTERNS["phone"], is_phone)}
 
 
-def _context(text: Column, span: Column) -> Column:
+def _context(span: Column) -> Column:
     """The lexical pattern of a value: the word before it with what is between, and the value's characters."""
-    begin = F.greatest(span["start"] - REACH, F.lit(0))
-    before = F.lower(F.substring(text, begin + 1, span["start"] - begin))
+    before = F.lower(F.right(span["before"], F.lit(REACH)))
     word = F.regexp_extract(before, r"([\p{L}_-]+[^\p{L}\p{N}]{0,4})$", 1)
     word = F.regexp_replace(word, r"\s+", " ")
     value = span["value"]
@@ -124,17 +128,17 @@ def _scanned(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     known = F.concat(*KINDS)
     listed = spans(F.when(F.col("text").rlike("[0-9]"), F.col("text")), VALUE)
     found = found.withColumns({"known": known, "listed": F.coalesce(listed, none)})
+    found = found.withColumn("overlaps", overlapping(F.col("listed"), F.col("known")))
 
-    def candidate(c):
-        pattern = _context(F.col("text"), c)
-        overlaps = F.exists("known", lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"]))
+    def candidate(c, overlaps):
+        pattern = _context(c)
         key = F.regexp_extract(pattern, r"^([\p{L}_-]+)\s*[=:]", 1)
         return F.struct(c["start"].alias("start"), c["end"].alias("end"), pattern.alias("pattern"),
                         F.xxhash64(c["value"]).alias("value"), overlaps.alias("known"), key.isin(*SEED_KEYS).alias("seed"))
 
     slim = [F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(k) for k in KINDS]
     return cut_lineage(found.select(F.monotonically_increasing_id().alias("uid"), "id", *slim,
-                                    F.transform("listed", candidate).alias("candidates")))
+                                    F.zip_with("listed", "overlaps", candidate).alias("candidates")))
 
 
 def pattern_scores(links: DataFrame, rounds: int | None = None, least: int = LEAST_KNOWN,

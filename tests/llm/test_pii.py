@@ -81,3 +81,29 @@ def test_query(spark):
         assert r.base_sha256 == hashlib.sha256(joined(base).encode()).hexdigest()
         parts = r.spans.split(",") if r.spans else []
         assert [x for x in parts if not x.startswith("context")] == joined(base).split(",") * bool(base)
+
+
+def _timed(df):
+    import time
+
+    began = time.monotonic()
+    row = df.collect()[0]
+    return row, time.monotonic() - began
+
+
+def test_many_matches_and_long_runs_take_seconds(spark):
+    """Twenty thousand addresses, and runs of 200,000 digits or letters, in one text each."""
+    mails = " ".join(f"user{i}@mail.example.org" for i in range(20_000))
+    row, took = _timed(find(spark.createDataFrame([(1, mails)], "doc_id long, text string")))
+    assert len(row.email) == 20_000 and not row.context and took < 30
+    assert mails[row.email[-1].start: row.email[-1].end] == "user19999@mail.example.org"
+    for long in ("7" * 200_000, "a" * 200_000, "1.2." * 50_000, "+1" + "(" * 200_000, "key = " * 30_000):
+        row, took = _timed(find(spark.createDataFrame([(1, long)], "doc_id long, text string")))
+        assert not row.email and not row.card and took < 30
+
+
+def test_a_match_may_start_where_the_last_one_ends(spark):
+    text = "a@b.co_x@d.org 1.2.3.4.5.6.7.8 x@y_z@w.com"
+    row = find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [text[s.start: s.end] for s in row.email] == ["a@b.co", "_x@d.org", "y_z@w.com"]
+    assert [text[s.start: s.end] for s in row.ip] == ["1.2.3.4", "5.6.7.8"]
