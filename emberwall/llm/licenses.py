@@ -14,7 +14,7 @@ from re import _parser
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, match_spans, table
 
 #: Ranks: an identifier line, a notice in full, a grant by name, a bare name, a hint; and how sure each makes.
 IDENTIFIER, NOTICE, GRANT, NAME, HINT = range(1, 6)
@@ -219,18 +219,10 @@ _DETECTION = "array<struct<start:int,end:int,label:string,rank:int,rule:int>>"
 
 
 def _places(text: Column, rule: Column) -> Column:
-    """Intervals of a rule's matches: what lies between them adds up to where they begin."""
-    found = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
-    between = F.split(text, rule["pattern"], -1)
-
-    def add(done, i):
-        start = F.when(F.size(done) == 0, F.lit(0)).otherwise(F.get(done, F.size(done) - 1)["end"]) + F.length(F.get(between, i))
-        return F.concat(done, F.array(F.struct(
-            start.alias("start"), (start + F.length(F.get(found, i))).alias("end"), rule["label"].alias("label"),
-            rule["rank"].alias("rank"), rule["rule"].alias("rule"))))
-
-    steps = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, F.array().cast(_DETECTION), add)
+    """Intervals of a rule's matches."""
+    return F.transform(match_spans(text, rule["pattern"]), lambda m: F.struct(
+        m["start"].alias("start"), m["end"].alias("end"), rule["label"].alias("label"), rule["rank"].alias("rank"),
+        rule["rule"].alias("rule")))
 
 
 def _unsuppressed(found: Column) -> Column:
