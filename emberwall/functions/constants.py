@@ -110,6 +110,7 @@ PREVIEW_ROWS = 10
 PREVIEW_COLUMNS = ("timestamp", "src_ip", "dst_ip", "log_type", "severity", "attack_type", "reason")
 
 # Ingestion defaults.
+INFER_ROWS = 10_000
 CHUNK_BYTES = 50 * 1024 * 1024
 UPSERT_BATCH_ROWS = 1000
 PROGRESS_EVERY = 100_000

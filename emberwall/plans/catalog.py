@@ -785,6 +785,54 @@ def _typed_back(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("bigint") for c in ("id", "bytes", "duration_ms")})
 
 
+@register("dedup_compact", LATEST_SQL)
+def q_dedup_compact(spark, d):
+    """Three deliveries merged: afterwards every key stands in the table once."""
+    table = shared_dir(spark, "dedup")
+    for _ in range(3):
+        K.dedup_append(lines(spark, d), table)
+    K.dedup_compact(spark, table)
+    return text_times(K.read_dedup_table(spark, table))
+
+
+@register("read_latest", LATEST_SQL)
+def q_read_latest(spark, d):
+    """A merged table with one more delivery of every second line."""
+    table = shared_dir(spark, "dedup")
+    src = lines(spark, d)
+    K.dedup_append(src, table)
+    K.dedup_compact(spark, table)
+    K.dedup_append(src.where(F.crc32("value") % 2 == 0), table)
+    return text_times(K.read_latest(spark, table))
+
+
+_REJECTS_SQL = f"""WITH {Q.log_lines_cte()}, {Q.LINES_PARSED_CTE.strip().rstrip(',')}
+SELECT DISTINCT reason, raw FROM (
+  SELECT raw, CASE WHEN NOT ok THEN 'bad_json' WHEN ts_s IS NULL THEN 'no_timestamp'
+                   WHEN {Q.iso_utc('ts_s')} IS NULL THEN 'bad_timestamp' WHEN id IS NULL THEN 'missing_id'
+                   WHEN {Q.iso_utc('its_s')} IS NULL THEN 'bad_ingest_ts' END AS reason FROM lp)
+WHERE reason IS NOT NULL"""
+
+
+@register("stream_rejects", _REJECTS_SQL)
+def q_stream_rejects(spark, d):
+    """Rejected lines of the dedup stream, one of each."""
+    src = _source_files(spark, d, "stream-src")
+    out = shared_dir(spark, "stream-dedup")
+    ST.stream_dedup(spark, src, out, shared_dir(spark, "ckpt"), max_files_per_trigger=2)
+    return ST.read_stream_rejects(spark, out)
+
+
+@register("scan_csv_typed", f"WITH {Q.fw_raw_cte()} SELECT * REPLACE (CAST(bytes AS BIGINT) AS bytes) FROM fw_raw")
+def q_scan_csv_typed(spark, d):
+    """The records written as CSV and read back with the column types that their first rows suggest."""
+    base = shared_dir(spark, "csv")
+    (_tokenised(raw_logs(spark, d)).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(base))
+    scanned = CSV.scan_csv(spark, base)
+    return CSV.typed(scanned, CSV.infer_types(scanned))
+
+
 @register("stream_landing", LANDING_SQL)
 def q_stream_landing(spark, d):
     src = _source_files(spark, d, "stream-src")
@@ -806,7 +854,7 @@ def q_stream_classify(spark, d):
     src = _source_files(spark, d, "stream-fw", _fw_json_lines(spark, d))
     out = shared_dir(spark, "stream-classified")
     ST.stream_classify(spark, src, out, shared_dir(spark, "ckpt"))
-    return _typed_back(spark.read.parquet(out))
+    return _typed_back(ST.read_classified(spark, out))
 
 
 @register("stream_hourly_rollup", f"{WCU} {HOURLY_SQL}")

@@ -64,6 +64,15 @@ def _reject_reason() -> Column:
     )
 
 
+def ingest_marked(lines: DataFrame, value: str = "value") -> DataFrame:
+    """``(id, timestamp, ingest_ts, raw, reason)`` of every line, parsed once; ``reason`` is null where it is usable,
+    and else says why not and nothing but ``raw`` is kept."""
+    reason = _reject_reason()
+    usable = lambda c: F.when(F.col("reason").isNull(), F.col(c)).alias(c)
+    return _parsed(lines, value).withColumn("reason", reason).select(
+        *[usable(c) for c in ("id", "timestamp", "ingest_ts")], "raw", "reason")
+
+
 def ingest_project(lines: DataFrame, value: str = "value") -> DataFrame:
     """P5: ``(id, timestamp, ingest_ts, raw)`` for every usable line.
 

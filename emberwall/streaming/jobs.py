@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.classify import analyze_batch, to_curated
-from ..schemas import RAW_DDL
+from ..schemas import RAW_SCHEMA
 from ..functions.constants import CHUNK_BYTES
 from ..operators.dedup import dedup_latest
-from ..sinks.files import dedup_append, landing_write
-from ..sources.jsonl import ingest_project
+from ..sinks.batches import MERGE_EVERY, folders, read_batches, stream_id, write_and_merge
+from ..sinks.files import dedup_append, dedup_compact, landing_write, mean_length
+from ..sources.jsonl import ingest_marked, parsed_once, scan_jsonl
 
 
 def _trigger(writer, trigger: str | None):
@@ -34,6 +35,11 @@ def _run(writer, checkpoint: str, trigger: str | None, wait: bool) -> StreamingQ
     return q
 
 
+def _label(batch: DataFrame, batch_id: int) -> str:
+    """A micro-batch's name, its own among all streams that write to one place."""
+    return f"{stream_id(batch.sparkSession) or 'batch'}-{batch_id}"
+
+
 def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None,
                 max_bytes_per_trigger: str | None = None) -> DataFrame:
     """ST1/ST3 source: lines of new files under ``source``.
@@ -57,13 +63,17 @@ def stream_landing(spark: SparkSession, source: str, base: str, checkpoint: str,
 
     A batch is clustered by hour and cut into parts by bytes; one that is
     delivered again replaces its own ``batch=N`` folders, so lines land once.
+    The length of lines is the mean of the batch before, at first that of a few lines of the source.
     """
+    # only the first batch of a run can have been written before, by a run that was cut short
+    state = {"again": bool(folders(spark, base)), "mean": None}
+
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # read once for the length of its lines and for their landing
-        try:
-            landing_write(batch, base, chunk_bytes, batch_id=batch_id)
-        finally:
-            batch.unpersist()
+        if state["mean"] is None:  # beside the stream, whose input is thus read once
+            state["mean"] = mean_length(scan_jsonl(batch.sparkSession, source))
+        wrote = landing_write(batch, base, chunk_bytes, batch_id=_label(batch, batch_id), again=state["again"],
+                              mean_bytes=state["mean"])
+        state.update(again=False, mean=wrote or state["mean"])
 
     lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger)
     return _run(lines.writeStream.foreachBatch(land), checkpoint, trigger, wait)
@@ -71,42 +81,82 @@ def stream_landing(spark: SparkSession, source: str, base: str, checkpoint: str,
 
 def stream_upsert(spark: SparkSession, source: str, table: str, checkpoint: str, trigger: str | None = None,
                   max_files_per_trigger: int | None = None, wait: bool = True,
-                  max_bytes_per_trigger: str | None = None) -> StreamingQuery:
+                  max_bytes_per_trigger: str | None = None,
+                  merge_every: int | None = MERGE_EVERY) -> StreamingQuery:
     """ST2: lines into the dedup table through ``foreachBatch``; unusable ones into its rejects.
 
-    At-least-once delivery is made idempotent by the latest-wins read side.
+    A batch that is delivered again replaces its own folders; re-sent lines are
+    resolved by the latest-wins read side. Every ``merge_every`` batches the
+    days touched since are merged (``dedup_compact``); one stream at a time may do so.
     """
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        dedup_append(batch, table, batch_id=_label(batch, batch_id))
+        if merge_every and batch_id % merge_every == merge_every - 1:
+            dedup_compact(batch.sparkSession, table)
+
     lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger)
-    writer = lines.writeStream.foreachBatch(lambda batch, _bid: dedup_append(batch, table))
-    return _run(writer, checkpoint, trigger, wait)
+    return _run(lines.writeStream.foreachBatch(upsert), checkpoint, trigger, wait)
+
+
+_RECORD_FIELDS = ", ".join(f"{f.name} string" for f in RAW_SCHEMA.fields)
+
+
+def parse_records(lines: DataFrame) -> DataFrame:
+    """JSON firewall records (one per line) as raw text columns, each line parsed once; ``rejected`` has the line
+    where it is not strict JSON (and then the columns are null)."""
+    parsed = parsed_once(lines.select("value"), "value", _RECORD_FIELDS)
+    return parsed.select("j.*", F.when(F.col("j").isNull(), F.col("value")).alias("rejected"))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """The records of the lines that are strict JSON."""
+    return parse_records(lines).where(F.col("rejected").isNull()).drop("rejected")
+
 
+#: Partition columns of a classified stream: rows or rejects, and the batch.
+ROWS, REJECTS = "rows", "rejects"
 
-def parse_records(lines: DataFrame, schema: str = RAW_DDL) -> DataFrame:
-    """JSON firewall records (one per line) as raw text columns."""
-    return lines.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+def write_classified(batch: DataFrame, batch_id: int | str, out: str, timestamp_mode: str = "parsed") -> None:
+    """Classified records of one micro-batch and, apart, the lines that are not strict JSON; one parse, one write.
+
+    A batch that is delivered again replaces its own folders.
+    """
+    records = parse_records(batch)
+    classified = analyze_batch(records, timestamp_mode)
+    fine = F.col("rejected").isNull()
+    kept = [F.when(fine, F.col(c)).alias(c) for c in classified.columns if c != "rejected"]
+    (classified.select(*kept, "rejected", F.when(fine, ROWS).otherwise(REJECTS).alias("kind"), F.lit(str(batch_id)).alias("batch"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch")
+     .option("compression", "zstd").parquet(out))
+
+
+def read_classified(spark: SparkSession, out: str) -> DataFrame:
+    """ST5 read side: the classified records."""
+    return spark.read.parquet(out).where(F.col("kind") == ROWS).drop("kind", "batch", "rejected")
+
+
+def read_classified_rejects(spark: SparkSession, out: str) -> DataFrame:
+    """Lines of a classified stream that are not strict JSON: (reason, raw)."""
+    return spark.read.parquet(out).where(F.col("kind") == REJECTS).select(
+        F.lit("bad_json").alias("reason"), F.col("rejected").alias("raw"))
 
 
 def stream_classify(spark: SparkSession, source: str, out: str, checkpoint: str, trigger: str | None = None,
                     timestamp_mode: str = "parsed", max_files_per_trigger: int | None = None,
                     wait: bool = True) -> StreamingQuery:
-    """ST5: the batch classifier on a stream (stateless, so it applies unchanged)."""
-    records = parse_records(line_stream(spark, source, max_files_per_trigger))
-    classified = analyze_batch(records, timestamp_mode)
-    writer = (classified.writeStream.format("parquet").option("path", out)
-              .option("checkpointLocation", checkpoint))
-    q = _trigger(writer, trigger).start()
-    if wait:
-        q.awaitTermination()
-    return q
+    """ST5: the batch classifier on a stream (stateless, so it applies unchanged); bad lines are kept as rejects."""
+    lines = line_stream(spark, source, max_files_per_trigger)
+    writer = lines.writeStream.foreachBatch(lambda batch, bid: write_classified(batch, _label(batch, bid), out, timestamp_mode))
+    return _run(writer, checkpoint, trigger, wait)
 
 
-INGEST_DDL = "id string, timestamp timestamp, ingest_ts timestamp, raw string"
 _ROLLUP_KEYS = ("hour_timestamp", "firewall_id", "protocol", "action")
 
 
 _PARTIALS_SCHEMA = (
-    "hour_timestamp timestamp, firewall_id string, protocol string, action string, events bigint, "
-    "bytes bigint, dur_sum bigint, dur_n bigint, kind string, ip string, batch_id bigint"
+    "hour_timestamp timestamp, firewall_id string, protocol string, action string, kind string, ip string, "
+    "events bigint, bytes bigint, dur_sum bigint, dur_n bigint"
 )
 
 
@@ -135,14 +185,20 @@ def rollup_partials(curated: DataFrame) -> DataFrame:
         F.count("ms").alias("dur_n"))
 
 
-def write_partials(batch: DataFrame, batch_id: int, table: str) -> None:
-    """Idempotent: a replayed batch overwrites only its own ``batch_id=N`` folder."""
-    rollup_partials(batch).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Pieces of several batches as the pieces of one: a row for each key and address."""
+    return partials.groupBy(*_ROLLUP_KEYS, "kind", "ip").agg(
+        *[F.sum(c).alias(c) for c in ("events", "bytes", "dur_sum", "dur_n")])
+
+
+def write_partials(batch: DataFrame, batch_id: int, table: str, merge_every: int | None = MERGE_EVERY) -> None:
+    """Idempotent: a replayed batch replaces only its own folder; every ``merge_every`` batches all are merged."""
+    write_and_merge(rollup_partials(batch), table, batch_id, _PARTIALS_SCHEMA, merge_partials, merge_every or 0)
 
 
 def read_hourly_rollup(spark: SparkSession, table: str) -> DataFrame:
     """ST6 read side: exact hourly rollup from the accumulated partials."""
-    p = spark.read.schema(_PARTIALS_SCHEMA).parquet(table)
+    p = read_batches(spark, table, _PARTIALS_SCHEMA)
     is_m = F.col("kind") == "m"
     return p.groupBy(*_ROLLUP_KEYS).agg(
         F.sum(F.when(is_m, F.col("events"))).cast("bigint").alias("total_events"),
@@ -155,22 +211,19 @@ def read_hourly_rollup(spark: SparkSession, table: str) -> DataFrame:
 
 def stream_hourly_rollup(spark: SparkSession, source: str, table: str, checkpoint: str,
                          trigger: str | None = None, max_files_per_trigger: int | None = None,
-                         wait: bool = True) -> StreamingQuery:
+                         wait: bool = True, merge_every: int | None = MERGE_EVERY) -> StreamingQuery:
     """ST6: incremental hourly rollup (exact distinct counts, no unbounded state).
 
-    Records are classified and typed on the stream, each micro-batch writes
-    its pre-aggregated partials, and ``read_hourly_rollup`` merges them.
+    Records are classified and typed on the stream (lines that are not strict
+    JSON have no key and count nowhere), each micro-batch writes its
+    pre-aggregated partials, and ``read_hourly_rollup`` merges them; every
+    ``merge_every`` batches they are merged where they are stored.
     Late records simply add partials to their old hour, as the reference
     lands late records in their old partition.
     """
-    records = parse_records(line_stream(spark, source, max_files_per_trigger))
-    curated = to_curated(analyze_batch(records))
-    writer = (curated.writeStream.foreachBatch(lambda b, bid: write_partials(b, bid, table))
-              .option("checkpointLocation", checkpoint))
-    q = _trigger(writer, trigger).start()
-    if wait:
-        q.awaitTermination()
-    return q
+    curated = to_curated(analyze_batch(_records(line_stream(spark, source, max_files_per_trigger))))
+    writer = curated.writeStream.foreachBatch(lambda b, bid: write_partials(b, bid, table, merge_every))
+    return _run(writer, checkpoint, trigger, wait)
 
 
 def windowed_hourly_rollup(curated_stream: DataFrame, watermark: str | None = None, rsd: float = 0.01) -> DataFrame:
@@ -198,41 +251,70 @@ def windowed_hourly_rollup(curated_stream: DataFrame, watermark: str | None = No
     )
 
 
-def write_latest(batch: DataFrame, batch_id: int, table: str) -> None:
-    """Latest version of each key in one micro-batch, in its own ``batch_id=N`` folder (idempotent per id)."""
-    dedup_latest(ingest_project(batch)).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+_LATEST_SCHEMA = "timestamp timestamp, id string, reason string, digest string, ingest_ts timestamp, raw string"
+_LATEST_KEYS = ("timestamp", "id", "reason", "digest")
+
+
+def latest_or_rejected(marked: DataFrame) -> DataFrame:
+    """The latest version of each key, and one of each rejected line (its key is its digest)."""
+    return dedup_latest(marked, keys=_LATEST_KEYS)
+
+
+def write_latest(batch: DataFrame, batch_id: int, table: str, merge_every: int | None = MERGE_EVERY) -> None:
+    """Latest version of each key in one micro-batch and its rejected lines, in a folder of its own (idempotent per id)."""
+    marked = ingest_marked(batch).withColumn("digest", F.when(F.col("reason").isNotNull(), F.sha2("raw", 256)))
+    write_and_merge(latest_or_rejected(marked), table, batch_id, _LATEST_SCHEMA, latest_or_rejected, merge_every or 0)
 
 
 def read_stream_dedup(spark: SparkSession, table: str) -> DataFrame:
     """ST7 read side: the latest version of each key over all batches."""
-    return dedup_latest(spark.read.schema(INGEST_DDL).parquet(table).select("id", "timestamp", "ingest_ts", "raw"))
+    rows = read_batches(spark, table, _LATEST_SCHEMA).where(F.col("reason").isNull())
+    return dedup_latest(rows.select("id", "timestamp", "ingest_ts", "raw"))
+
+
+def read_stream_rejects(spark: SparkSession, table: str) -> DataFrame:
+    """Lines that ST7 could not use, one of each: (reason, raw)."""
+    rows = read_batches(spark, table, _LATEST_SCHEMA).where(F.col("reason").isNotNull())
+    return rows.groupBy("reason", "digest").agg(F.first("raw").alias("raw")).select("reason", "raw")
 
 
 def stream_dedup(spark: SparkSession, source: str, table: str, checkpoint: str, trigger: str | None = None,
                  max_files_per_trigger: int | None = None, wait: bool = True,
-                 max_bytes_per_trigger: str | None = None) -> StreamingQuery:
+                 max_bytes_per_trigger: str | None = None, merge_every: int | None = MERGE_EVERY) -> StreamingQuery:
     """ST7: one record per ``(timestamp, id)``, the one with the greatest ``ingest_ts``.
 
     Each micro-batch stores its own latest versions and the read side resolves
-    them, so nothing is given up for being late and there is no state to bound.
+    them, so nothing is given up for being late and there is no state to bound;
+    every ``merge_every`` batches the stored versions are merged. Lines that
+    cannot be used are kept beside them (``read_stream_rejects``).
     """
     lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger)
-    writer = lines.writeStream.foreachBatch(lambda batch, bid: write_latest(batch, bid, table))
+    writer = lines.writeStream.foreachBatch(lambda batch, bid: write_latest(batch, bid, table, merge_every))
     return _run(writer, checkpoint, trigger, wait)
 
 
-def write_window_updates(batch: DataFrame, batch_id: int, table: str) -> None:
-    """Update-mode rows of one micro-batch, in its own ``batch_id=N`` folder (idempotent per id)."""
-    batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+_WINDOW_SCHEMA = (
+    "hour_timestamp timestamp, firewall_id string, protocol string, action string, version bigint, total_events bigint, "
+    "total_bytes bigint, avg_duration_ms double, unique_src_ips bigint, unique_dst_ips bigint"
+)
+
+
+def newest_windows(updates: DataFrame) -> DataFrame:
+    """The newest state of every window key."""
+    vals = [c for c in updates.columns if c not in _ROLLUP_KEYS and c != "version"]
+    best = F.max(F.struct("version", *vals)).alias("b")
+    return updates.groupBy(*_ROLLUP_KEYS).agg(best).select(*_ROLLUP_KEYS, *[F.col(f"b.{c}").alias(c) for c in ("version", *vals)])
+
+
+def write_window_updates(batch: DataFrame, batch_id: int, table: str, merge_every: int | None = MERGE_EVERY) -> None:
+    """Update-mode rows of one micro-batch, in a folder of its own (idempotent per id)."""
+    rows = batch.withColumns({"version": F.lit(int(batch_id)).cast("bigint"), "total_bytes": F.col("total_bytes").cast("bigint")})
+    write_and_merge(rows, table, batch_id, _WINDOW_SCHEMA, newest_windows, merge_every or 0)
 
 
 def read_window_rollup(spark: SparkSession, table: str) -> DataFrame:
     """The newest state of every window key across all update batches."""
-    rows = spark.read.option("basePath", table).parquet(table)
-    keys = ["hour_timestamp", "firewall_id", "protocol", "action"]
-    vals = [c for c in rows.columns if c not in keys and c != "batch_id"]
-    best = F.max(F.struct("batch_id", *vals)).alias("b")
-    return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"b.{c}").alias(c) for c in vals])
+    return newest_windows(read_batches(spark, table, _WINDOW_SCHEMA)).drop("version")
 
 
 def stream_window_rollup(spark: SparkSession, source: str, table: str, checkpoint: str,
@@ -244,16 +326,11 @@ def stream_window_rollup(spark: SparkSession, source: str, table: str, checkpoin
     id and ``read_window_rollup`` keeps the newest state per window. Only an
     explicit ``watermark`` gives up late records.
     """
-    records = parse_records(line_stream(spark, source, max_files_per_trigger))
+    records = _records(line_stream(spark, source, max_files_per_trigger))
     curated = to_curated(analyze_batch(records)).where(
         F.col("timestamp").isNotNull() & F.col("firewall_id").isNotNull()
         & F.col("protocol").isNotNull() & F.col("action").isNotNull()
     )
-    agg = windowed_hourly_rollup(curated, watermark)
-    writer = (agg.writeStream.outputMode("update")
-              .foreachBatch(lambda b, bid: write_window_updates(b, bid, table))
-              .option("checkpointLocation", checkpoint))
-    q = _trigger(writer, trigger).start()
-    if wait:
-        q.awaitTermination()
-    return q
+    writer = (windowed_hourly_rollup(curated, watermark).writeStream.outputMode("update")
+              .foreachBatch(lambda b, bid: write_window_updates(b, bid, table)))
+    return _run(writer, checkpoint, trigger, wait)

@@ -9,7 +9,7 @@ from conftest import SF001
 from emberwall.fixtures import fw_raw, log_lines
 from emberwall.operators.classify import analyze_batch
 from emberwall.session import local_fs_path, shared_dir
-from emberwall.sinks.files import dedup_append, landing_write, read_dedup_table, rejects_table, write_classified_csv
+from emberwall.sinks.files import dedup_append, landing_write, read_dedup_table, read_rejects, write_classified_csv
 from emberwall.sources.csv import csv_folders, scan_csv
 from emberwall.sources.jsonl import landing_inventory, scan_landing
 
@@ -82,7 +82,7 @@ def test_every_line_is_stored_or_rejected_with_a_reason(spark):
     table = shared_dir(spark, "t-rej")
     lines = log_lines(spark, SF001)
     dedup_append(lines, table)
-    rejects = spark.read.parquet(rejects_table(table))
+    rejects = read_rejects(spark, table)
     assert read_dedup_table(spark, table).count() + rejects.count() == lines.count()
     reasons = {r["reason"] for r in rejects.select("reason").distinct().collect()}
     assert {"bad_json", "no_timestamp", "bad_timestamp"} <= reasons

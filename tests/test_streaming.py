@@ -108,7 +108,7 @@ def test_results_do_not_depend_on_how_files_are_batched(spark, files):
         assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
     landed = scan_landing(spark, run(ST.stream_landing, src, "t-st1"))
     assert landed.count() == lines.count()
-    classified = spark.read.parquet(run(ST.stream_classify, fw, "t-st5"))
+    classified = ST.read_classified(spark, run(ST.stream_classify, fw, "t-st5"))
     assert classified.count() == raw.count()
     curated = to_curated(analyze_batch(raw))
     rollup = hourly_rollup(curated)
