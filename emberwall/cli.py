@@ -19,6 +19,7 @@ from .operators.classify import analyze_batch
 from .operators.search import preview
 from .session import build_session
 from .sinks import files as K
+from .sinks.zones import refresh_zones
 from .sources.csv import scan_csv
 from .sources.jsonl import landing_inventory, scan_jsonl
 from .streaming import jobs as ST
@@ -43,6 +44,7 @@ def cmd_curate(spark, args) -> int:
     K.curated_write(classified, f"{args.output}/firewall_logs")
     curated = spark.read.parquet(f"{args.output}/firewall_logs")
     K.write_rollup_tables(curated, args.output)
+    refresh_zones(spark, f"{args.output}/firewall_logs")
     print(json.dumps(A.overview(curated).first().asDict()))
     return 0
 

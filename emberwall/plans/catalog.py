@@ -27,6 +27,7 @@ from ..operators import reshape as R
 from ..operators import search as S
 from ..session import ensure_utc, read_table, session_token, shared_dir
 from ..sinks import files as K
+from ..sinks import zones as Z
 from ..sources import csv as CSV
 from ..sources import jsonl as J
 from ..sources import tables as TB
@@ -90,12 +91,23 @@ def stored_curated(spark, d):
     Filters on ``severity``/``action``/``protocol`` reach the Parquet scan
     as pushed filters instead of being evaluated through the rules.
     """
+    return TB.read_curated(spark, _stored_path(spark, d)).drop("created_at", "day")
+
+
+def _stored_path(spark, d) -> str:
     key = (session_token(spark), d)
     if key not in _STORED:
         path = shared_dir(spark, "curated-table")
         store_curated(spark, d, path)
         _STORED[key] = path
-    return TB.read_curated(spark, _STORED[key]).drop("created_at", "day")
+    return _STORED[key]
+
+
+def zoned_path(spark, d) -> str:
+    """The stored curated table with its zone map up to date."""
+    path = _stored_path(spark, d)
+    Z.refresh_zones(spark, path)
+    return path
 
 
 WC, WCU, WAPI, WING = Q.with_classified(), Q.with_curated(), Q.with_api(), Q.with_ingested()
@@ -264,17 +276,25 @@ _PAGE_COLS = "id, timestamp, severity, action, protocol, src_ip, dst_ip, reason"
 @register("page_logs", f"{WCU} SELECT id, {Q.fmt_ts('timestamp')} AS timestamp, severity, action, protocol, "
           "src_ip, dst_ip, reason FROM curated ORDER BY curated.timestamp DESC NULLS FIRST, id LIMIT 100")
 def q_page_logs(spark, d):
-    return text_times(S.page_logs(stored_curated(spark, d)).select(*_PAGE_COLS.split(", ")))
+    return text_times(Z.newest_page(spark, zoned_path(spark, d)).select(*_PAGE_COLS.split(", ")))
 
 
 @register("dashboard_page", f"{WCU} SELECT id, {Q.fmt_ts('timestamp')} AS timestamp, severity, action, protocol, "
           "src_ip, dst_ip, reason FROM curated WHERE severity = 'High' "
           "ORDER BY curated.timestamp DESC NULLS FIRST, id LIMIT 50 OFFSET 50")
 def q_dashboard_page(spark, d):
-    page = S.dashboard_page(stored_curated(spark, d), page=1, severity="High")
+    page = Z.newest_dashboard_page(spark, zoned_path(spark, d), page=1, severity="High")
     return text_times(page.select(*_PAGE_COLS.split(", ")))
 
 
+@register("zone_map", f"""{WCU}
+SELECT coalesce(strftime(timestamp, '%Y-%m-%d'), 'unknown') AS day, severity, action, protocol, count(*) AS rows,
+       {Q.fmt_ts('min(timestamp)')} AS min_ts, {Q.fmt_ts('max(timestamp)')} AS max_ts
+FROM curated GROUP BY 1, 2, 3, 4""")
+def q_zone_map(spark, d):
+    return text_times(Z.read_zones(spark, zoned_path(spark, d)).drop("files", "bytes"))
+
+
 @register("blocked", f"WITH {Q.fw_raw_cte()} SELECT id, action, action IN ('DENY', 'DROP', 'REJECT') AS blocked "
           "FROM fw_raw")
 def q_blocked(spark, d):
@@ -558,7 +578,7 @@ def q_rollup_suspicious_ips_table(spark, d):
           "dst_ip ILIKE '%10.0.1%' OR reason ILIKE '%10.0.1%' OR firewall_id ILIKE '%10.0.1%') "
           "ORDER BY curated.timestamp DESC NULLS FIRST, id LIMIT 100 OFFSET 20")
 def q_read_logs(spark, d):
-    page = S.page_logs(stored_curated(spark, d), skip=20, limit=100, action="DENY", search="10.0.1")
+    page = Z.newest_page(spark, zoned_path(spark, d), skip=20, limit=100, action="DENY", search="10.0.1")
     return text_times(page.select(*_PAGE_COLS.split(", ")))
 
 
