@@ -109,3 +109,45 @@ def test_query(spark):
     assert df.columns == ["doc_id", "n_tokens", "pll", "mean_pll"]
     rows = df.collect()
     assert len(rows) == 200 and all(r.mean_pll == pytest.approx(r.pll / r.n_tokens) for r in rows if r.n_tokens)
+
+
+def _lower(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+@pytest.mark.parametrize("frequent", [pll.FREQUENT, 5])
+def test_scores_of_all_documents_by_hand(spark, monkeypatch, frequent):
+    """Every score of the table from real word counts, whether the words are sent to the tasks or joined."""
+    import re
+    from collections import Counter
+
+    monkeypatch.setattr(pll, "FREQUENT", frequent)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if len(r.text) < 3000]
+    rows += [(-1, None), (-2, " "), (-3, rows[0][1]), (None, "Only HERE only")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    words = pll.word_counts(df)
+    net = train(df, words=words)
+    counts = Counter(w for _, t in rows for w in re.findall(r"[^ \t-\r]+", _lower(t or "")))
+    assert words.count() == len(counts) and sorted(r.n for r in words.collect()) == sorted(counts.values())
+    id_of = {w: int(ids_of(w)[0]) for w in counts}
+    whole = Counter()
+    for w, n in counts.items():
+        whole[int(net.class_of[id_of[w]])] += n + 1
+    got = {r.doc_id: r for r in score(df, net, words=words).collect()}
+    for doc_id, text in rows:
+        tokens = re.findall(r"[^ \t-\r]+", _lower(text or ""))
+        want = sum(np.log((counts[w] + 1) / (whole[int(net.class_of[id_of[w]])] + 1)) for w in tokens)
+        if tokens:
+            bare = Network(**{**vars(net), "within": np.zeros(pll.VOCABULARY)})
+            want += by_hand(bare, text)
+        assert got[doc_id].n_tokens == len(tokens) and got[doc_id].pll == pytest.approx(want, rel=1e-4, abs=1e-3)
+
+
+def test_shares_of_a_class_sum_to_one(spark):
+    """Those of its counted words and that of a word not counted."""
+    df = spark.createDataFrame([(1, "a b a b a c " + " ".join(f"w{i}" for i in range(500)))], "doc_id long, text string")
+    words = pll.word_counts(df)
+    net = train(df, words=words)
+    known = pll.frequent_words(words, net)
+    share = np.bincount(net.class_of[(known.known >> np.uint64(49)).astype(int)], np.exp(known.logs), pll.SINGLE + pll.BANDS)
+    assert np.allclose((share + 1) / np.exp(known.whole), 1)
