@@ -84,3 +84,27 @@ def test_query(spark):
         t = sums.setdefault(r.source_size, [r.target, 0])
         t[1] += r.taken
     assert all(abs(k - t) < 0.05 * t for t, k in sums.values())
+
+
+def test_small_sources_come_near_their_targets(spark):
+    """Ten documents to a source, of 2 to 2,770 words; long ones that do not fit are passed over."""
+    df = op4_mix_sources(spark, "/root/testdata/sf0.001")
+    source = {r.doc_id: r.source for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    sums = {}
+    for r in df.collect():
+        t = sums.setdefault(source[r.doc_id], [r.target, 0, r.source_size])
+        t[1] += r.taken
+        assert r.taken in (0, r.size, 2 * r.size, 3 * r.size)
+    off = [abs(k - t) / t for t, k, _ in sums.values()]
+    assert len(off) == 20 and max(off) < 0.03 and sum(x < 0.02 for x in off) >= 18
+
+
+def test_fills_pass_over_long_documents(spark):
+    """More documents than are drawn in several orders: one long one stands in the way of a thousand short ones."""
+    rows = [(i, "w " * (1 + i % 3), "s") for i in range(1500)] + [(5000 + i, "x " * 900, "s") for i in range(4)]
+    rows += [(9000 + i, "y " * 10, "t") for i in range(400)]
+    taken, target = {}, {}
+    for r in mix(docs(spark, rows)).collect():
+        taken[r.source] = taken.get(r.source, 0) + r.mix.reps * r.mix["size"]
+        target[r.source] = r.mix.target
+    assert all(abs(taken[s] - target[s]) <= max(10, 0.002 * target[s]) for s in target)
