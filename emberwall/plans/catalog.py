@@ -27,6 +27,7 @@ from ..operators import reshape as R
 from ..operators import search as S
 from ..session import ensure_utc, read_table, session_token, shared_dir
 from ..sinks import files as K
+from ..sinks import rollups as RU
 from ..sinks import zones as Z
 from ..sources import csv as CSV
 from ..sources import jsonl as J
@@ -925,3 +926,69 @@ def q_stream_progress(spark, d):
 @register("rate_limit", _totals_sql(4))
 def q_rate_limit(spark, d):
     return _stream_totals(spark, d, 1)
+
+
+@register("rate_limit_records", f"""WITH {Q.log_lines_cte()}, n AS (SELECT count(*) AS n FROM log_lines)
+SELECT i AS batch_id, least(2000, n - 2000 * i) AS records FROM n, range((SELECT (n + 1999) // 2000 FROM n)) t(i)""")
+def q_rate_limit_records(spark, d):
+    """Records of each micro-batch of a stream that admits 2,000 at a time."""
+    src = _source_files(spark, d, "stream-src")
+    seen = shared_dir(spark, "batch-sizes")
+    lines_ = ST.line_stream(spark, src, max_records_per_trigger=2000)
+
+    def count(batch, batch_id):
+        batch.agg(F.count("*").alias("records")).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
+            "overwrite").parquet(f"{seen}/batch={batch_id}")
+
+    ST._run(lines_.writeStream.foreachBatch(count), shared_dir(spark, "ckpt"), None, True, by_records=True)
+    return spark.read.parquet(seen).select("batch_id", "records")
+
+
+# ---- rollups kept up to date (A9-A11) and unique addresses of any range --------------------
+
+def _updated_rollups(spark, d) -> str:
+    """Three batches, the second delivered twice, merged after the second."""
+    base = shared_dir(spark, "live-rollups")
+    logs = stored_curated(spark, d)
+    for batch_id, part in enumerate((0, 1, 1, 2)):
+        RU.update_rollups(logs.where(F.pmod(F.xxhash64("id"), F.lit(3)) == part), base, min(batch_id, part))
+        if batch_id == 2:
+            RU.merge_rollups(spark, base)
+    return base
+
+
+@register("live_top_ports", f"{WCU} SELECT * REPLACE ({Q.fmt_ts('last_seen')} AS last_seen) FROM ({PORTS_SQL})")
+def q_live_top_ports(spark, d):
+    return text_times(RU.read_ports(spark, _updated_rollups(spark, d)))
+
+
+@register("live_suspicious_ips", f"{WCU} SELECT * REPLACE ({Q.fmt_ts('last_blocked')} AS last_blocked) FROM ({SUSPICIOUS_SQL})")
+def q_live_suspicious_ips(spark, d):
+    return text_times(RU.read_suspicious_ips(spark, _updated_rollups(spark, d)))
+
+
+@register("live_hourly_rollup", f"""{WCU}
+SELECT hour_timestamp, firewall_id, protocol, action, total_events, total_bytes, avg_duration_ms FROM ({HOURLY_SQL})""")
+def q_live_hourly_rollup(spark, d):
+    rolled = RU.read_hours(spark, _updated_rollups(spark, d)).drop("unique_src_ips", "unique_dst_ips")
+    return _rounded_rollup(rolled)
+
+
+@register("unique_addresses", f"""{WCU}
+SELECT protocol, count(*) AS events, count(DISTINCT src_ip) AS exact_src_ips, count(DISTINCT dst_ip) AS exact_dst_ips,
+       true AS within_bound FROM curated
+WHERE timestamp >= TIMESTAMP '2024-01-03 00:00:00' AND timestamp < TIMESTAMP '2024-01-20 00:00:00'
+  AND firewall_id IS NOT NULL AND protocol IS NOT NULL AND action IS NOT NULL GROUP BY protocol""")
+def q_unique_addresses(spark, d):
+    """Unique addresses of seventeen days by protocol: exact, and whether the merged sketches are within four standard errors."""
+    first, last = "2024-01-03 00:00:00", "2024-01-20 00:00:00"
+    told = RU.unique_addresses(spark, _updated_rollups(spark, d), first, last, ("protocol",))
+    logs = stored_curated(spark, d).where(
+        (F.col("timestamp") >= F.lit(first).cast("timestamp")) & (F.col("timestamp") < F.lit(last).cast("timestamp"))
+        & F.col("firewall_id").isNotNull() & F.col("protocol").isNotNull() & F.col("action").isNotNull())
+    exact = logs.groupBy("protocol").agg(F.count_distinct("src_ip").alias("exact_src_ips"),
+                                         F.count_distinct("dst_ip").alias("exact_dst_ips"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), F.col(b) * 4 * 1.04 / 2 ** (RU.SKETCH_BITS / 2))
+    both = told.hint("merge").join(exact, "protocol")
+    return both.select("protocol", "events", "exact_src_ips", "exact_dst_ips",
+                       (near("unique_src_ips", "exact_src_ips") & near("unique_dst_ips", "exact_dst_ips")).alias("within_bound"))

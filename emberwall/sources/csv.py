@@ -47,7 +47,8 @@ def scan_csv(spark: SparkSession, path: str, groups: dict[str, Iterable[str]] |
     header, read from one of them and checked against each, so a differing file
     fails loudly. Folders of one header are one scan; unlike ones are unioned by
     name with missing columns as null, and the null tokens become null.
-    ``groups`` (header line -> files) is for files of unlike headers in one folder.
+    ``groups`` (header line -> files) is for files of unlike headers in one folder
+    and for names with glob characters, whose headers Spark does not find (it fails).
     """
     def reader():
         return (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
@@ -60,7 +61,7 @@ def scan_csv(spark: SparkSession, path: str, groups: dict[str, Iterable[str]] |
             alike.setdefault(tuple(reader().csv(exact[0]).columns), []).extend(exact)
     else:
         for header, files in sorted(groups.items()):
-            alike.setdefault(tuple(next(_csv.reader([header], delimiter=sep))), []).extend(files)
+            alike.setdefault(tuple(next(_csv.reader([header], delimiter=sep))), []).extend(map(_exactly, files))
     if not alike:
         raise FileNotFoundError(f"no CSV files under {path}")
     frames = [reader().schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(files)

@@ -20,6 +20,7 @@ from ..operators.dedup import dedup_latest
 from ..sinks.batches import MERGE_EVERY, folders, read_batches, stream_id, write_and_merge
 from ..sinks.files import dedup_append, dedup_compact, landing_write, mean_length
 from ..sources.jsonl import ingest_marked, parsed_once, scan_jsonl
+from .records import record_stream
 
 
 def _trigger(writer, trigger: str | None):
@@ -28,8 +29,16 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def _run(writer, checkpoint: str, trigger: str | None, wait: bool) -> StreamingQuery:
-    q = _trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
+def _run(writer, checkpoint: str, trigger: str | None, wait: bool, by_records: bool = False) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    if by_records and trigger is None:
+        # "available now" would take one batch of a source that says how far it goes batch by batch
+        q = writer.trigger(processingTime="0 seconds").start()
+        if wait:
+            q.processAllAvailable()
+            q.stop()
+        return q
+    q = _trigger(writer, trigger).start()
     if wait:
         q.awaitTermination()
     return q
@@ -41,13 +50,17 @@ def _label(batch: DataFrame, batch_id: int) -> str:
 
 
 def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None,
-                max_bytes_per_trigger: str | None = None) -> DataFrame:
+                max_bytes_per_trigger: str | None = None, max_records_per_trigger: int | None = None) -> DataFrame:
     """ST1/ST3 source: lines of new files under ``source``.
 
     Rate limiting (ST3) is source admission, not sleeping: at most
     ``max_files_per_trigger`` files (or about ``max_bytes_per_trigger``) enter
     each micro-batch; with a processing-time trigger this caps the rate.
+    ``max_records_per_trigger`` admits an exact number of records instead (see
+    ``records``): 8,200 with a trigger of one second is the reference's rate.
     """
+    if max_records_per_trigger:
+        return record_stream(spark, source, max_records_per_trigger)
     reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -58,7 +71,8 @@ def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | N
 
 def stream_landing(spark: SparkSession, source: str, base: str, checkpoint: str, trigger: str | None = None,
                    max_files_per_trigger: int | None = None, wait: bool = True,
-                   max_bytes_per_trigger: str | None = None, chunk_bytes: int = CHUNK_BYTES) -> StreamingQuery:
+                   max_bytes_per_trigger: str | None = None, chunk_bytes: int = CHUNK_BYTES,
+                   max_records_per_trigger: int | None = None) -> StreamingQuery:
     """ST1: lines into the ``dt=/hour=`` landing zone, each micro-batch by the batch writer (K1).
 
     A batch is clustered by hour and cut into parts by bytes; one that is
@@ -75,14 +89,14 @@ def stream_landing(spark: SparkSession, source: str, base: str, checkpoint: str,
                               mean_bytes=state["mean"])
         state.update(again=False, mean=wrote or state["mean"])
 
-    lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger)
-    return _run(lines.writeStream.foreachBatch(land), checkpoint, trigger, wait)
+    lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger, max_records_per_trigger)
+    return _run(lines.writeStream.foreachBatch(land), checkpoint, trigger, wait, bool(max_records_per_trigger))
 
 
 def stream_upsert(spark: SparkSession, source: str, table: str, checkpoint: str, trigger: str | None = None,
                   max_files_per_trigger: int | None = None, wait: bool = True,
                   max_bytes_per_trigger: str | None = None,
-                  merge_every: int | None = MERGE_EVERY) -> StreamingQuery:
+                  merge_every: int | None = MERGE_EVERY, max_records_per_trigger: int | None = None) -> StreamingQuery:
     """ST2: lines into the dedup table through ``foreachBatch``; unusable ones into its rejects.
 
     A batch that is delivered again replaces its own folders; re-sent lines are
@@ -94,8 +108,8 @@ def stream_upsert(spark: SparkSession, source: str, table: str, checkpoint: str,
         if merge_every and batch_id % merge_every == merge_every - 1:
             dedup_compact(batch.sparkSession, table)
 
-    lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger)
-    return _run(lines.writeStream.foreachBatch(upsert), checkpoint, trigger, wait)
+    lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger, max_records_per_trigger)
+    return _run(lines.writeStream.foreachBatch(upsert), checkpoint, trigger, wait, bool(max_records_per_trigger))
 
 
 _RECORD_FIELDS = ", ".join(f"{f.name} string" for f in RAW_SCHEMA.fields)
