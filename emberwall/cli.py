@@ -19,9 +19,10 @@ from .operators.classify import analyze_batch
 from .operators.search import preview
 from .session import build_session
 from .sinks import files as K
+from .sinks.manifest import manifest_totals
 from .sinks.zones import refresh_zones
 from .sources.csv import scan_csv
-from .sources.jsonl import landing_inventory, scan_jsonl
+from .sources.jsonl import scan_jsonl
 from .streaming import jobs as ST
 from .streaming.progress import ProgressCollector, watched
 
@@ -64,7 +65,7 @@ def cmd_land(spark, args) -> int:
         document = f"{args.output.rstrip('/')}__meta/progress"
         collector = ProgressCollector(
             on_snapshot=lambda snap: K.write_progress(spark, snap, document),
-            count_parts=lambda: landing_inventory(spark, args.output).first()["files"])
+            count_parts=lambda: manifest_totals(spark, args.output).first()["files"])
         q = watched(spark, lambda: ST.stream_landing(spark, args.input, args.output, _checkpoint(args),
                                                      **_admission(args)), collector)
         print(json.dumps(collector.snapshot(str(q.id))))

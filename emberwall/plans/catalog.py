@@ -27,6 +27,7 @@ from ..operators import reshape as R
 from ..operators import search as S
 from ..session import ensure_utc, read_table, session_token, shared_dir
 from ..sinks import files as K
+from ..sinks import manifest as MF
 from ..sinks import rollups as RU
 from ..sinks import zones as Z
 from ..sources import csv as CSV
@@ -104,10 +105,15 @@ def _stored_path(spark, d) -> str:
     return _STORED[key]
 
 
+_ZONED: set[str] = set()
+
+
 def zoned_path(spark, d) -> str:
-    """The stored curated table with its zone map up to date."""
+    """The stored curated table with its zone map, made once as the table is written once."""
     path = _stored_path(spark, d)
-    Z.refresh_zones(spark, path)
+    if path not in _ZONED:
+        Z.refresh_zones(spark, path)
+        _ZONED.add(path)
     return path
 
 
@@ -862,6 +868,18 @@ def q_stream_landing(spark, d):
     return J.scan_landing(spark, base)
 
 
+@register("landing_manifest", f"""WITH {Q.log_lines_cte()}
+SELECT CAST(2 AS BIGINT) AS batches, count(*) AS lines, CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes, true AS files_match
+FROM log_lines""")
+def q_landing_manifest(spark, d):
+    """What the manifest of a landing stream says, and whether the zone has as many files."""
+    src = _source_files(spark, d, "stream-src")
+    base = shared_dir(spark, "stream-landing")
+    ST.stream_landing(spark, src, base, shared_dir(spark, "ckpt"), max_files_per_trigger=2)
+    listed = J.landing_inventory(spark, base).first()["files"]
+    return MF.manifest_totals(spark, base).select("batches", "lines", "bytes", (F.col("files") == listed).alias("files_match"))
+
+
 @register("stream_upsert", LATEST_SQL)
 def q_stream_upsert(spark, d):
     src = _source_files(spark, d, "stream-src")

@@ -38,7 +38,7 @@ def part_records(lines: DataFrame, chunk_bytes: int, value: str = "value") -> in
 
 def landing_write(lines: DataFrame, base: str, chunk_bytes: int = CHUNK_BYTES, value: str = "value",
                   compression: str | None = None, batch_id: int | str | None = None, again: bool = True,
-                  mean_bytes: float | None = None) -> float | None:
+                  mean_bytes: float | None = None) -> dict:
     """K1: original lines into ``base/dt=YYYY-MM-DD/hour=HH/part-*`` by event time (UTC).
 
     ``REBALANCE(dt, hour)`` clusters lines by partition so each folder gets
@@ -49,11 +49,14 @@ def landing_write(lines: DataFrame, base: str, chunk_bytes: int = CHUNK_BYTES, v
     With ``batch_id`` the folders get a further level ``batch=N``; they are
     replaced if the batch may have been written before (``again``), which takes
     a move for each folder where a first delivery takes one for each day.
-    Returns the mean length of the lines written, newlines counted (None if there were none).
+    Returns what was written: ``lines``, their ``mean`` length with newlines
+    (None if there were none) and the ``hours`` (``dt=/hour=`` folders) written to.
     """
     only = lines.select(F.col(value).alias("value"))
     seen = Observation()
-    keyed = with_partition_key(only).observe(seen, F.avg(F.octet_length("value") + 1).alias("mean"))
+    keyed = with_partition_key(only).observe(
+        seen, F.count("*").alias("lines"), F.avg(F.octet_length("value") + 1).alias("mean"),
+        F.collect_set(F.concat(F.lit("dt="), F.col("dt"), F.lit("/hour="), F.col("hour"))).alias("hours"))
     dealt = keyed.hint("rebalance", "dt", "hour")
     if batch_id is None:
         writer = dealt.write.mode("append").partitionBy("dt", "hour")
@@ -65,7 +68,7 @@ def landing_write(lines: DataFrame, base: str, chunk_bytes: int = CHUNK_BYTES, v
     if compression:
         writer = writer.option("compression", compression)
     writer.text(base)
-    return seen.get.get("mean")
+    return seen.get
 
 
 def dedup_append(lines: DataFrame, table: str, value: str = "value", batch_id: int | str | None = None) -> None:

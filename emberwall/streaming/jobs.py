@@ -19,6 +19,7 @@ from ..functions.constants import CHUNK_BYTES
 from ..operators.dedup import dedup_latest
 from ..sinks.batches import MERGE_EVERY, folders, read_batches, stream_id, write_and_merge
 from ..sinks.files import dedup_append, dedup_compact, landing_write, mean_length
+from ..sinks.manifest import note_batch
 from ..sources.jsonl import ingest_marked, parsed_once, scan_jsonl
 from .records import record_stream
 
@@ -77,7 +78,7 @@ def stream_landing(spark: SparkSession, source: str, base: str, checkpoint: str,
 
     A batch is clustered by hour and cut into parts by bytes; one that is
     delivered again replaces its own ``batch=N`` folders, so lines land once.
-    The length of lines is the mean of the batch before, at first that of a few lines of the source.
+    Each batch is noted in the zone's manifest. The length of lines is the mean of the batch before, at first that of a few lines of the source.
     """
     # only the first batch of a run can have been written before, by a run that was cut short
     state = {"again": bool(folders(spark, base)), "mean": None}
@@ -87,7 +88,10 @@ def stream_landing(spark: SparkSession, source: str, base: str, checkpoint: str,
             state["mean"] = mean_length(scan_jsonl(batch.sparkSession, source))
         wrote = landing_write(batch, base, chunk_bytes, batch_id=_label(batch, batch_id), again=state["again"],
                               mean_bytes=state["mean"])
-        state.update(again=False, mean=wrote or state["mean"])
+        state.update(again=False, mean=wrote.get("mean") or state["mean"])
+        label = _label(batch, batch_id)
+        note_batch(batch.sparkSession, base, label.rsplit("-", 1)[0], batch_id, wrote.get("lines") or 0,
+                   [f"{base}/{hour}/batch={label}" for hour in wrote.get("hours") or ()])
 
     lines = line_stream(spark, source, max_files_per_trigger, max_bytes_per_trigger, max_records_per_trigger)
     return _run(lines.writeStream.foreachBatch(land), checkpoint, trigger, wait, bool(max_records_per_trigger))

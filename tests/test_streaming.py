@@ -12,6 +12,7 @@ from emberwall.operators.classify import analyze_batch, to_curated
 from emberwall.operators.dedup import dedup_latest
 from emberwall.session import shared_dir
 from emberwall.sinks.files import read_dedup_table, write_progress
+from emberwall.sinks.manifest import manifest_totals
 from emberwall.sources.jsonl import ingest_project, landing_inventory, scan_landing
 from emberwall.streaming import jobs as ST
 from emberwall.streaming.progress import BATCHES_KEPT, ProgressCollector, watched
@@ -70,7 +71,7 @@ def test_progress_snapshots_and_document(spark):
         write_progress(spark, snap, document)
 
     collector = ProgressCollector(every_docs=500, on_snapshot=write,
-                                  count_parts=lambda: landing_inventory(spark, base).first()["files"])
+                                  count_parts=lambda: manifest_totals(spark, base).first()["files"])
     watched(spark, lambda: ST.stream_landing(spark, src, base, shared_dir(spark, "t-ckpt"), max_files_per_trigger=1),
             collector)
     total = log_lines(spark, SF001).count()
@@ -79,6 +80,8 @@ def test_progress_snapshots_and_document(spark):
     stored = json.loads(spark.read.text(document).first()[0])
     assert stored["total_docs"] == total and set(stored) == {"total_docs", "parts_written", "elapsed_sec", "rate_rps", "updated_at"}
     assert len(collector.batches) <= BATCHES_KEPT
+    told, listed = manifest_totals(spark, base).first(), landing_inventory(spark, base).first()
+    assert (told.batches, told.lines, told.files, told.bytes) == (2, total, listed["files"], listed["total_bytes"])
 
 
 def test_a_failing_progress_write_only_warns():
