@@ -27,6 +27,7 @@ from ..operators import reshape as R
 from ..operators import search as S
 from ..session import ensure_utc, read_table, session_token, shared_dir
 from ..sinks import files as K
+from ..sinks import grams as GR
 from ..sinks import manifest as MF
 from ..sinks import rollups as RU
 from ..sinks import zones as Z
@@ -277,6 +278,20 @@ def q_search_logs(spark, d):
     return text_times(S.search_logs(stored_curated(spark, d), "brute"))
 
 
+@register("search_indexed", f"{WCU} {CUR_TXT} WHERE src_ip ILIKE '%ransom%' OR dst_ip ILIKE '%ransom%' "
+          "OR reason ILIKE '%ransom%' OR firewall_id ILIKE '%ransom%'")
+def q_search_indexed(spark, d):
+    """The stored table searched through the index of its files."""
+    path = _stored_path(spark, d)
+    GR.refresh_grams(spark, path)
+    return text_times(GR.search_table(spark, path, "ransom").drop("created_at", "day"))
+
+
+@register("point_lookup", f"{WCU} {CUR_TXT} WHERE src_ip = '10.0.7.7'")
+def q_point_lookup(spark, d):
+    return text_times(K.lookup(spark, _stored_path(spark, d), "src_ip", "10.0.7.7").drop("created_at", "day"))
+
+
 _PAGE_COLS = "id, timestamp, severity, action, protocol, src_ip, dst_ip, reason"
 
 

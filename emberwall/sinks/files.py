@@ -14,6 +14,7 @@ from ..operators.classify import drop_corrupt, to_curated
 from ..operators.dedup import dedup_latest
 from ..schemas import CURSOR_SCHEMA, PROGRESS_SCHEMA
 from ..sources.jsonl import ingest_marked, with_partition_key
+from ..sources.tables import read_curated
 from .batches import file_system, folders, remove
 
 DEDUP_TABLE_DDL = "id string, timestamp timestamp, ingest_ts timestamp, raw string, reason string, day string, batch string"
@@ -187,17 +188,34 @@ def curated_write(classified: DataFrame, path: str, mode: str = "append") -> Dat
     """K6: classified rows into the curated Parquet table, partitioned by day.
 
     ``created_at`` is the write time; rows are clustered by day and sorted
-    by ``(timestamp, id)`` inside files so min/max statistics skip row groups.
+    by ``(timestamp, id)`` inside files so min/max statistics skip row groups;
+    bloom filters of the looked-up columns skip those that statistics cannot.
     """
     curated = to_curated(classified).withColumns({
         "created_at": F.current_timestamp(),
         "day": F.coalesce(F.date_format("timestamp", "yyyy-MM-dd"), F.lit("unknown")),
     })
-    (curated.hint("rebalance", "day").sortWithinPartitions("day", "timestamp", "id")
-     .write.mode(mode).partitionBy("day").option("compression", "zstd").parquet(path))
+    writer = (curated.hint("rebalance", "day").sortWithinPartitions("day", "timestamp", "id")
+              .write.mode(mode).partitionBy("day").option("compression", "zstd"))
+    for column in LOOKUP_COLUMNS:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(
+            f"parquet.bloom.filter.adaptive.enabled#{column}", "true")
+    writer.parquet(path)
     return curated
 
 
+#: Columns of the curated table that are looked up by value.
+LOOKUP_COLUMNS = ("src_ip", "dst_ip", "session_id")
+
+
+def lookup(spark: SparkSession, path: str, column: str, value: str) -> DataFrame:
+    """Rows of the curated table with a value in one of ``LOOKUP_COLUMNS``; row groups whose bloom filter or
+    statistics rule it out are not read."""
+    if column not in LOOKUP_COLUMNS:
+        raise ValueError(f"look up one of {', '.join(LOOKUP_COLUMNS)}")
+    return read_curated(spark, path).where(F.col(column) == F.lit(value))
+
+
 def cursor_write(spark: SparkSession, table: str, ts: str, id_: str, component: str = "stream") -> None:
     """K4: append one cursor row (``updated_at`` = now); ``cursor_latest`` reads it back."""
     row = spark.createDataFrame([(component, ts, id_, None)], CURSOR_SCHEMA)
