@@ -4,6 +4,7 @@
   curate    CSV folder -> curated Parquet table + the three rollup tables
   land      JSON-lines folder -> dt=/hour= landing zone (batch or stream)
   upsert    JSON-lines folder -> latest-wins dedup table (batch or stream)
+  compact   merge the days of a dedup table that were touched since they were last merged
 
 Run with ``spark-submit -m``-style launchers or ``python -m emberwall.cli``.
 """
@@ -19,6 +20,7 @@ from .operators.classify import analyze_batch
 from .operators.search import preview
 from .session import build_session
 from .sinks import files as K
+from .sinks.grams import refresh_grams
 from .sinks.manifest import manifest_totals
 from .sinks.zones import refresh_zones
 from .sources.csv import scan_csv
@@ -46,6 +48,7 @@ def cmd_curate(spark, args) -> int:
     curated = spark.read.parquet(f"{args.output}/firewall_logs")
     K.write_rollup_tables(curated, args.output)
     refresh_zones(spark, f"{args.output}/firewall_logs")
+    refresh_grams(spark, f"{args.output}/firewall_logs")
     print(json.dumps(A.overview(curated).first().asDict()))
     return 0
 
@@ -57,7 +60,7 @@ def _checkpoint(args) -> str:
 
 def _admission(args) -> dict:
     return {"trigger": args.trigger, "max_files_per_trigger": args.max_files_per_trigger,
-            "max_bytes_per_trigger": args.max_bytes_per_trigger}
+            "max_bytes_per_trigger": args.max_bytes_per_trigger, "max_records_per_trigger": args.max_records_per_trigger}
 
 
 def cmd_land(spark, args) -> int:
@@ -82,6 +85,11 @@ def cmd_upsert(spark, args) -> int:
     return 0
 
 
+def cmd_compact(spark, args) -> int:
+    print(json.dumps({"merged_days": K.dedup_compact(spark, args.table)}))
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="emberwall")
     ap.add_argument("--master", default=None, help="Spark master (default: the launcher's)")
@@ -102,9 +110,12 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--trigger", default=None, help="processing-time interval; default: available now")
         p.add_argument("--max-files-per-trigger", type=int, default=None)
         p.add_argument("--max-bytes-per-trigger", default=None, help="such as 64m; with --trigger this bounds the rate")
+        p.add_argument("--max-records-per-trigger", type=int, default=None, help="with --trigger this is the rate")
+    sub.add_parser("compact").add_argument("table")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
-    handler = {"classify": cmd_classify, "curate": cmd_curate, "land": cmd_land, "upsert": cmd_upsert}[args.cmd]
+    handler = {"classify": cmd_classify, "curate": cmd_curate, "land": cmd_land, "upsert": cmd_upsert,
+               "compact": cmd_compact}[args.cmd]
     return handler(spark, args)
 
 

@@ -6,6 +6,7 @@ from conftest import SF001
 from emberwall import cli
 from emberwall.fixtures import fw_raw, log_lines
 from emberwall.session import shared_dir
+from emberwall.sinks.files import dedup_folders
 from emberwall.sources.csv import scan_csv
 
 
@@ -32,3 +33,6 @@ def test_land_and_upsert(spark):
     table = shared_dir(spark, "t-cli-dedup")
     assert cli.main(["upsert", src, table]) == 0
     assert spark.read.parquet(table).count() > 0
+    assert cli.main(["upsert", src, table, "--stream", "--max-records-per-trigger", "700"]) == 0
+    assert cli.main(["compact", table]) == 0
+    assert all(len(batches) == 1 for batches in dedup_folders(spark, table).values())
