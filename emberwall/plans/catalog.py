@@ -35,6 +35,7 @@ from ..sources import csv as CSV
 from ..sources import jsonl as J
 from ..sources import tables as TB
 from ..streaming import jobs as ST
+from ..streaming import keyed as KS
 from ..streaming.progress import ProgressCollector, watched
 from . import sql as Q
 
@@ -938,6 +939,27 @@ def q_stream_dedup(spark, d):
     return text_times(ST.read_stream_dedup(spark, out))
 
 
+def _keyed_stream(spark, d) -> str:
+    """The lines as four micro-batches into a keyed stream, whose table is returned."""
+    src, out = _source_files(spark, d, "stream-src"), shared_dir(spark, "stream-latest")
+    KS.stream_latest(spark, src, out, shared_dir(spark, "ckpt"), max_files_per_trigger=1)
+    return out
+
+
+@register("stream_latest", LATEST_SQL)
+def q_stream_latest(spark, d):
+    """ST7 with keyed state."""
+    return text_times(KS.read_stream_latest(spark, _keyed_stream(spark, d)))
+
+
+@register("stream_latest_counts", f"""{WING}, {Q.LATEST_CTE}, n AS (
+  SELECT (SELECT count(*) FROM ingested) AS lines, (SELECT count(*) FROM latest) AS keys, (SELECT count(*) FROM log_lines) AS every)
+SELECT lines, keys, lines - keys AS dropped, every - lines AS rejected FROM n""")
+def q_stream_latest_counts(spark, d):
+    """What the keyed stream has seen: usable lines, their keys, lines that gave way to others, rejected lines."""
+    return KS.read_latest_counts(spark, _keyed_stream(spark, d))
+
+
 def _stream_totals(spark, d, files: int | None) -> DataFrame:
     """Documents and micro-batches of a landing stream over four files, as its progress events report them."""
     src = _source_files(spark, d, "stream-src")
