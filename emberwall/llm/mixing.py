@@ -54,6 +54,20 @@ def source_targets(sizes: DataFrame, weights=(1, 2, 3), max_epochs: float = 3.0)
                          F.least("cap", F.col("weight") * F.lit(level)).alias("target"))
 
 
+def _with_run(units: DataFrame) -> DataFrame:
+    """``units`` (source, draw, words) with ``run``: a source's words up to each draw.
+
+    Summed by hash range first and then within each, so that no task sorts all the draws of one source.
+    """
+    units = cut_lineage(units.withColumn("bin", F.shiftright("draw", 64 - HASH_BITS)))
+    ranges = units.groupBy(F.col("source").alias("r_source"), F.col("bin").alias("r_bin")).agg(F.sum("words").alias("all"))
+    before = ranges.withColumn("before", F.sum("all").over(Window.partitionBy("r_source").orderBy("r_bin")) - F.col("all"))
+    inner = F.sum("words").over(Window.partitionBy("source", "bin").orderBy("draw"))
+    return (units.withColumn("inner", inner)
+            .join(before, units["source"].eqNullSafe(F.col("r_source")) & (F.col("bin") == F.col("r_bin")))
+            .withColumn("run", F.col("before") + F.col("inner")).drop("r_source", "r_bin", "all", "before", "inner", "bin"))
+
+
 def _fills(base: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Steps (source, after, upto, limit) that take the draws between of at most ``limit`` words, and (source, gap) left.
 
@@ -66,10 +80,9 @@ def _fills(base: DataFrame, cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = cut_lineage(base.join(todo, base["source"].eqNullSafe(F.col("s"))).where(fits).select("source", "size", "draw"))
     steps, gaps = todo.select(F.col("s").alias("source"), "after", F.lit(0).cast("long").alias("upto"), "limit").limit(0), None
     for _ in range(FILLS):
-        run = F.sum("words").over(Window.partitionBy("source").orderBy("draw"))
-        units = (rows.join(todo, rows["source"].eqNullSafe(F.col("s")))
-                 .where((F.col("size") <= F.col("limit")) & later)
-                 .groupBy("source", "after", "limit", "draw").agg(F.sum("size").alias("words")).withColumn("run", run))
+        units = _with_run(rows.join(todo, rows["source"].eqNullSafe(F.col("s")))
+                          .where((F.col("size") <= F.col("limit")) & later)
+                          .groupBy("source", "after", "limit", "draw").agg(F.sum("size").alias("words")))
         good = F.col("run") <= F.col("limit")
         taken = cut_lineage(units.groupBy("source", "after", "limit").agg(
             F.max(F.when(good, F.col("draw"))).alias("upto"), F.max(F.when(good, F.col("run"))).alias("got"),

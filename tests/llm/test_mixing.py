@@ -1,7 +1,11 @@
 """Mixing: targets against a plain water-filling, and defined results for odd rows."""
 
+import random
+
 import pytest
+from pyspark.sql import Row
 
+from emberwall.llm import mixing
 from emberwall.llm.mixing import mix, op4_mix_sources, repeat_rows
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -108,3 +112,18 @@ def test_fills_pass_over_long_documents(spark):
         taken[r.source] = taken.get(r.source, 0) + r.mix.reps * r.mix["size"]
         target[r.source] = r.mix.target
     assert all(abs(taken[s] - target[s]) <= max(10, 0.002 * target[s]) for s in target)
+
+
+def test_running_words_of_each_source(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.randrange(-(1 << 63), 1 << 63), rng.randrange(1, 9)) for _ in range(500)]
+    rows += [("c", d, 1) for d in (-(1 << 63), -1, 0, (1 << 63) - 1)]
+    got = sorted(map(str, mixing._with_run(spark.createDataFrame(rows, "source string, draw long, words long").repartition(3))
+                     .select("source", "draw", "run").collect()))
+    want = []
+    for source in ("a", "b", "c", None):
+        total = 0
+        for _, draw, words in sorted((r for r in rows if r[0] == source), key=lambda r: r[1]):
+            total += words
+            want.append(str(Row(source=source, draw=draw, run=total)))
+    assert got == sorted(want)
