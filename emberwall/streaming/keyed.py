@@ -33,7 +33,9 @@ _SETTINGS = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql
 
 _KEYS = ("ts_us", "id", "reason", "digest")
 _VERSION = "ingest_us long, raw string"
-_CHANGE = f"ts_us long, id string, reason string, digest string, {_VERSION}, seen long"
+_SEEN = f"ts_us long, id string, reason string, digest string, {_VERSION}, seen long"
+#: ``seen`` counts the key's lines of the batch (with a time to live), ``total`` those of all batches so far (without).
+_CHANGE = f"{_SEEN}, total long"
 #: Before any time, for lines that have none.
 _NEVER = -(1 << 63)
 
@@ -87,21 +89,39 @@ class LatestVersion(StatefulProcessor):
         pass
 
 
+def held_for_good(keyed: DataFrame) -> DataFrame:
+    """A row per key and micro-batch by a running aggregate: the greatest version with the time of the batch that
+    brought it first, and the lines so far. The version is given out by the batch that brought it."""
+    now = -F.unix_micros(F.current_timestamp())  # one time for all of a batch, also if it runs again
+    held = keyed.withColumn("brought", now).groupBy(*_KEYS).agg(
+        F.max(F.struct("ingest_us", "raw", "brought")).alias("newest"), F.count("*").alias("total"))
+    new = F.col("newest.brought") == now
+    return held.select(*_KEYS, *[F.when(new, F.col(f"newest.{c}")).alias(c) for c in ("ingest_us", "raw")],
+                       F.lit(None).cast("long").alias("seen"), "total")
+
+
 def changes(lines: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """The keyed stream: a row per key and micro-batch, with its line where that is newer than the one held."""
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package
+    """The keyed stream: a row per key and micro-batch, with its line where that is newer than the one held.
+
+    Without a time to live Spark's own running aggregate holds the keys; with one, which aggregates do not have,
+    ``LatestVersion`` does.
+    """
     keyed = ingest_marked(lines).select(
         F.unix_micros("timestamp").alias("ts_us"), "id", "reason",
         F.when(F.col("reason").isNotNull(), F.sha2("raw", 256)).alias("digest"),
         F.unix_micros("ingest_ts").alias("ingest_us"), "raw")
-    return keyed.mapInArrow(collapsed, _CHANGE).groupBy(*_KEYS).transformWithState(
-        LatestVersion(ttl_ms), _CHANGE, "update", "ProcessingTime" if ttl_ms else "None")
+    if not ttl_ms:
+        return held_for_good(keyed)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have this package
+    return keyed.mapInArrow(collapsed, _SEEN).groupBy(*_KEYS).transformWithState(
+        LatestVersion(ttl_ms), _SEEN, "update", "ProcessingTime").withColumn("total", F.lit(None).cast("long"))
 
 
 def merged_changes(rows: DataFrame) -> DataFrame:
     """Changes of several batches as those of one: a key's newest version and all lines seen."""
     newest = F.max(F.struct("ingest_us", "raw")).alias("newest")
-    return rows.groupBy(*_KEYS).agg(newest, F.sum("seen").alias("seen")).select(*_KEYS, "newest.ingest_us", "newest.raw", "seen")
+    return rows.groupBy(*_KEYS).agg(newest, F.sum("seen").alias("seen"), F.max("total").alias("total")).select(
+        *_KEYS, "newest.ingest_us", "newest.raw", "seen", "total")
 
 
 def stream_latest(spark: SparkSession, source: str, table: str, checkpoint: str, trigger: str | None = None,
@@ -142,7 +162,8 @@ def read_latest_rejects(spark: SparkSession, table: str) -> DataFrame:
 def read_latest_counts(spark: SparkSession, table: str) -> DataFrame:
     """One row: usable lines, the keys they come to, lines that gave way to another of their key, and rejected lines."""
     usable = F.col("reason").isNull()
-    by_key = read_batches(spark, table, _CHANGE).groupBy(*_KEYS).agg(F.sum("seen").alias("seen"))
+    lines_of = F.coalesce(F.sum("seen"), F.lit(0)) + F.coalesce(F.max("total"), F.lit(0))
+    by_key = read_batches(spark, table, _CHANGE).groupBy(*_KEYS).agg(lines_of.alias("seen"))
     lines, kept = F.coalesce(F.sum(F.when(usable, F.col("seen"))), F.lit(0)), F.count_if(usable)
     return by_key.agg(lines.alias("lines"), kept.alias("keys"), (lines - kept).alias("dropped"),
                       F.coalesce(F.sum(F.when(~usable, F.col("seen"))), F.lit(0)).alias("rejected"))

@@ -90,3 +90,17 @@ def test_no_batches_yet(spark):
     table = shared_dir(spark, "t-keyed")
     assert K.read_stream_latest(spark, table).count() == 0
     assert tuple(K.read_latest_counts(spark, table).first()) == (0, 0, 0, 0)
+
+
+def test_without_a_time_to_live_no_key_calls_python(spark):
+    """The running aggregate holds the keys; lines seen are told in total, versions by the batch that brings them."""
+    src, table, ckpt = (shared_dir(spark, x) for x in ("t-src", "t-keyed", "t-ckpt"))
+    line = '{{"id":"{}","timestamp":"2024-01-01T00:00:00Z","ingest_ts":"2024-02-01T00:00:{:02d}Z"}}'
+    for i, rows in enumerate(([("a", 1), ("a", 2), ("b", 1)], [("a", 1), ("b", 3)], [("a", 2), ("b", 1)])):
+        spark.createDataFrame([(line.format(*r),) for r in rows], "value string").coalesce(1).write.text(f"{src}/{i}")
+        q = K.stream_latest(spark, src, table, ckpt)
+        assert q.lastProgress.stateOperators[0].operatorName == "stateStoreSave"
+    got = [(r.id, r.raw is not None, r.total) for r in read_batches(spark, table, K._CHANGE).collect()]
+    assert sorted(got) == [("a", False, 3), ("a", False, 4), ("a", True, 2), ("b", False, 3), ("b", True, 1), ("b", True, 2)]
+    assert tuple(K.read_latest_counts(spark, table).first()) == (7, 2, 5, 0)
+    assert {r.id: str(r.ingest_ts)[-1] for r in K.read_stream_latest(spark, table).collect()} == {"a": "2", "b": "3"}
