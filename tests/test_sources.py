@@ -7,7 +7,7 @@ import pytest
 
 from conftest import SF001
 from emberwall.fixtures import fw_raw, log_lines
-from emberwall.operators.classify import analyze_batch
+from emberwall.operators.classify import analyze_batch, drop_corrupt
 from emberwall.session import local_fs_path, shared_dir
 from emberwall.sinks.files import dedup_append, landing_write, read_dedup_table, read_rejects, write_classified_csv
 from emberwall.sources.csv import csv_folders, scan_csv
@@ -44,6 +44,16 @@ def test_classified_csv_skips_empty(spark):
     assert write_classified_csv(analyze_batch(fw_raw(spark, SF001)), path) is True
 
 
+def test_dropping_corrupt_rows_leaves_the_rules_where_they_are(spark):
+    """The rules run once, behind the exchange that deals out the records; not again in a filter before it."""
+    kept = drop_corrupt(analyze_batch(fw_raw(spark, SF001)))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CORRUPT_LINE") <= 3
+    assert "Filter" not in plan[plan.index("RepartitionByExpression"):]
+    rows = spark.createDataFrame([(1, "CORRUPT_LINE|X"), (2, None), (3, ""), (3, ""), (4, "X")], "id int, bug_type string")
+    assert sorted(map(tuple, drop_corrupt(rows).collect()), key=str) == [(2, None), (3, ""), (3, ""), (4, "X")]
+
+
 AWKWARD = 'id,reason,action\n1,"say ""hi"", port scan",DENY\n2,"two\nlines",DROP\n3,"  padded  ",ALLOW\n4,back\\slash\\,DENY\n5,"",DENY\n'
 
 
