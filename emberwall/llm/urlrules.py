@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.fpm import FPGrowth
+from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import ascii_lower, broadcast_if_small, cut_lineage, table
@@ -29,8 +29,9 @@ LISTED = (
     (BLOCK, "com", "/de/"),
 )
 #: A rule's tokens and verdict stand together in one in so many labelled URLs at least (and twice), its verdict holds
-#: for so many hundredths of the URLs with its tokens; fitting looks at a URL's most telling tokens, and a rule has
-#: few of them (FP-growth lists every subset of what it is given).
+#: for so many hundredths of the URLs with its tokens; a rule has few tokens. FP-growth lists every subset of what it is
+#: given, so it mines where no labelled URL has more frequent tokens than TELLING; else PrefixSpan does, which can be
+#: held to the length of a rule, over all tokens.
 SUPPORT, CONFIDENCE, TELLING, ITEMS = 200, 80, 10, 3
 #: Equal URLs that one row stands for when they are dealt out to FP-growth.
 PART = 10_000
@@ -97,11 +98,11 @@ def mined_rules(sets: DataFrame, support: int = SUPPORT, confidence: int = CONFI
     least = max(2, -(-n // support))
     each = labelled.select("k1", "k2", "n_allow", "n_block", F.explode("tokens").alias("token"))
     vocabulary = each.groupBy("token").agg(F.sum(F.col("n_allow") + F.col("n_block")).alias("n"), F.sum("n_block").alias("b"))
-    # at most `support` times the mean number of tokens pass
+    # at most `support` times the mean number of tokens of a labelled URL pass
     vocabulary = broadcast_if_small(cut_lineage(vocabulary.where(F.col("n") >= least)))
     tells = F.abs(F.col("b").cast("double") * n - F.col("n").cast("double") * n_block)
     kept = each.join(vocabulary.select("token", (-tells).alias("t")), "token").groupBy("k1", "k2", "n_allow", "n_block").agg(
-        F.transform(F.slice(F.array_sort(F.collect_list(F.struct("t", "token"))), 1, TELLING), lambda x: x.token).alias("tokens"))
+        F.transform(F.array_sort(F.collect_list(F.struct("t", "token"))), lambda x: x.token).alias("tokens"))
     # FP-growth has no weights: a set stands as often as its URLs do, dealt out in parts
     labels = kept.select("tokens", F.inline(F.array(*[F.struct(F.lit(v).alias("verdict"), F.col(c).alias("count"))
                                                       for v, c in ((ALLOW, "n_allow"), (BLOCK, "n_block"))]))).where("count > 0")
@@ -109,9 +110,15 @@ def mined_rules(sets: DataFrame, support: int = SUPPORT, confidence: int = CONFI
     urls = parts.repartition("tokens", "verdict", "at").select(
         F.concat("tokens", F.array("verdict")).alias("items"),
         F.explode(F.array_repeat(F.lit(0), F.least(F.lit(PART), F.col("count") - F.col("at")).cast("int")))).select("items")
-    model = FPGrowth(minSupport=(least - 0.5) / n, minConfidence=1.0).fit(urls)
+    widest = kept.agg(F.max(F.size("tokens"))).first()[0] or 0
+    if widest <= TELLING:
+        found = FPGrowth(minSupport=(least - 0.5) / n, minConfidence=1.0).fit(urls).freqItemsets
+    else:  # of sorted items, one after the other, the patterns are the itemsets
+        spans = PrefixSpan(minSupport=(least - 0.5) / n, maxPatternLength=ITEMS + 1)
+        found = spans.findFrequentSequentialPatterns(urls.select(F.transform(F.array_sort("items"), lambda x: F.array(x)).alias("sequence")))
+        found = found.select(F.flatten("sequence").alias("items"), "freq").where(F.col("freq") >= least)
     verdict = F.get(F.filter("items", lambda x: x.isin(ALLOW, BLOCK)), F.lit(0))
-    frequent = model.freqItemsets.where(F.size("items") <= ITEMS + 1).select(
+    frequent = found.where(F.size("items") <= ITEMS + 1).select(
         F.array_sort(F.array_except("items", F.array(F.lit(ALLOW), F.lit(BLOCK)))).alias("items"), verdict.alias("verdict"), "freq")
     frequent = cut_lineage(frequent.where(F.size("items").between(1, ITEMS)))
     totals = frequent.where("verdict is null").select("items", F.col("freq").alias("total"))

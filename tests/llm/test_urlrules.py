@@ -85,6 +85,18 @@ def test_against_all_combinations(spark, seed):
     assert got(spark, urls) == brute(urls)
 
 
+def test_urls_of_many_tokens_are_mined_whole(spark, monkeypatch):
+    """Tokens past the ten most telling of a URL count as well, in rules of one and of more."""
+    rng = random.Random(3)
+    many = lambda: "&".join(sorted(rng.sample([f"k{chr(97 + i)}" for i in range(12)], 9)) + ["z"])
+    urls = [f"http://x.com/de/a?{many()}" for _ in range(20)] + [f"http://y.com/fr/b?{many()[:-1]}y" for _ in range(20)] + [
+        "http://w.net/?z", "http://w.net/?y", "http://w.net/?ka&kb", *[f"http://w.net/?{many()}" for _ in range(5)]]
+    got_ = got(spark, urls)
+    monkeypatch.setattr(U, "TELLING", None)  # of the count of all combinations, which then takes all tokens
+    assert got_ == brute(urls)
+    assert got_[40][3] == "block" and got_[41][3] == "allow"
+
+
 def test_without_labels_all_is_allowed(spark):
     urls = ["http://a.net/x", None, "http://b.net/de/1"]
     assert got(spark, urls) == [("a.net", "/x", None, "allow"), ("", "", None, "allow"), ("b.net", "/de/1", None, "allow")]
