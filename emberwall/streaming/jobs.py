@@ -9,7 +9,9 @@ bounded run: everything present is processed, then the query stops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -244,13 +246,21 @@ def stream_hourly_rollup(spark: SparkSession, source: str, table: str, checkpoin
     return _run(writer, checkpoint, trigger, wait)
 
 
+def distinct_about(column: str, rsd: float) -> Column:
+    """Distinct values, with a relative standard error of ``rsd``. A sketch of few values is a list of them: what is
+    dealt out and held follows the values of a group, where HLL++ takes its full size (13 KB for 0.01) for each."""
+    bits = min(21, max(4, math.ceil(2 * math.log2(1.04 / rsd))))
+    # sketches pass over empty values
+    return F.hll_sketch_estimate(F.hll_sketch_agg(F.concat(F.lit("="), F.col(column)), bits))
+
+
 def windowed_hourly_rollup(curated_stream: DataFrame, watermark: str | None = None, rsd: float = 0.01) -> DataFrame:
     """ST6, stateful variant for live dashboards: event-time windows, in update mode.
 
     Without a ``watermark`` every record counts, however late, and the state
     has a row for each hour, firewall, protocol and action seen. A watermark
     bounds the state and gives up records later than it. Distinct counts are
-    HLL++ sketches (exact distinct is not supported on streams).
+    HLL sketches (exact distinct is not supported on streams).
     """
     if watermark:
         curated_stream = curated_stream.withWatermark("timestamp", watermark)
@@ -261,8 +271,8 @@ def windowed_hourly_rollup(curated_stream: DataFrame, watermark: str | None = No
             F.count(F.lit(1)).alias("total_events"),
             F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"),
             F.avg("duration_ms").alias("avg_duration_ms"),
-            F.approx_count_distinct("src_ip", rsd).alias("unique_src_ips"),
-            F.approx_count_distinct("dst_ip", rsd).alias("unique_dst_ips"),
+            distinct_about("src_ip", rsd).alias("unique_src_ips"),
+            distinct_about("dst_ip", rsd).alias("unique_dst_ips"),
         )
         .withColumn("hour_timestamp", F.col("window.start"))
         .drop("window")

@@ -120,3 +120,20 @@ def test_results_do_not_depend_on_how_files_are_batched(spark, files):
     keys = ["hour_timestamp", "firewall_id", "protocol", "action", "total_events", "total_bytes"]
     windows = ST.read_window_rollup(spark, run(ST.stream_window_rollup, fw, "t-st6w"))
     assert windows.select(*keys).exceptAll(rollup.select(*keys)).count() == 0 and windows.count() == rollup.count()
+
+
+def test_window_state_follows_the_addresses(spark):
+    """A window of few addresses holds few; counts stay within four standard errors, empty values count, nulls do not."""
+    line = '{{"id":"{0}","timestamp":"2024-01-{1:02d}T{2:02d}:00:00Z","firewall_id":"f","protocol":"TCP","action":"DENY","src_ip":"10.0.0.{3}"}}'
+    rows = [(line.format(i, 1 + i % 240 // 24, i % 24, i % 3),) for i in range(480)]
+    src, table = shared_dir(spark, "t-src"), shared_dir(spark, "t-win")
+    spark.createDataFrame(rows, "value string").write.text(src)
+    q = ST.stream_window_rollup(spark, src, table, shared_dir(spark, "t-ckpt"))
+    state = q.lastProgress.stateOperators[0]
+    assert state.numRowsTotal == 240 and state.memoryUsedBytes < 240 * 10_000
+    many = spark.range(20_000).select(
+        F.lit("2024-01-01").cast("timestamp").alias("timestamp"), *[F.lit("x").alias(c) for c in ("firewall_id", "protocol", "action")],
+        F.lit(1).alias("bytes"), F.lit(1).alias("duration_ms"), F.when(F.col("id") > 0, F.col("id").cast("string")).alias("src_ip"),
+        F.when(F.col("id") % 3 > 0, "").alias("dst_ip"))
+    one = ST.windowed_hourly_rollup(many).first()
+    assert abs(one.unique_src_ips - 19_999) < 4 * 0.01 * 19_999 and one.unique_dst_ips == 1
