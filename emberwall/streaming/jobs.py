@@ -19,7 +19,7 @@ from ..operators.classify import analyze_batch, to_curated
 from ..schemas import RAW_SCHEMA
 from ..functions.constants import CHUNK_BYTES
 from ..operators.dedup import dedup_latest
-from ..sinks.batches import MERGE_EVERY, folders, read_batches, stream_id, write_and_merge
+from ..sinks.batches import MERGE_EVERY, file_system, folders, read_batches, stream_id, write_and_merge
 from ..sinks.files import dedup_append, dedup_compact, landing_write, mean_length
 from ..sinks.manifest import note_batch
 from ..sources.jsonl import ingest_marked, parsed_once, scan_jsonl
@@ -32,16 +32,34 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+_LOG_WRITER = "spark.sql.streaming.checkpointFileManagerClass"
+#: Writes a checkpoint's logs through Hadoop's file systems, as Spark does where those have no file contexts.
+_PLAIN_LOGS = "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+
+
+def _start(spark: SparkSession, writer, checkpoint: str, plain_logs: bool) -> StreamingQuery:
+    """With ``plain_logs`` a checkpoint on a disk gets its two log entries a batch without a file context, which starts
+    several processes for each file (to read links and set rights); a stream makes its logs when it starts."""
+    before = spark.conf.get(_LOG_WRITER, None)
+    if not plain_logs or before is not None or file_system(spark, checkpoint)[0].getScheme() != "file":
+        return writer.start()
+    spark.conf.set(_LOG_WRITER, _PLAIN_LOGS)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.unset(_LOG_WRITER)
+
+
 def _run(writer, checkpoint: str, trigger: str | None, wait: bool, by_records: bool = False) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", checkpoint)
+    spark, writer = writer._spark, writer.option("checkpointLocation", checkpoint)
     if by_records and trigger is None:
         # "available now" would take one batch of a source that says how far it goes batch by batch
-        q = writer.trigger(processingTime="0 seconds").start()
+        q = _start(spark, writer.trigger(processingTime="0 seconds"), checkpoint, True)
         if wait:
             q.processAllAvailable()
             q.stop()
         return q
-    q = _trigger(writer, trigger).start()
+    q = _start(spark, _trigger(writer, trigger), checkpoint, by_records)
     if wait:
         q.awaitTermination()
     return q

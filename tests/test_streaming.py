@@ -122,6 +122,28 @@ def test_results_do_not_depend_on_how_files_are_batched(spark, files):
     assert windows.select(*keys).exceptAll(rollup.select(*keys)).count() == 0 and windows.count() == rollup.count()
 
 
+def test_record_batches_leave_small_traces(spark, monkeypatch):
+    """Batches of a few records have no folder each, and their log entries are written without file contexts."""
+    from datetime import datetime, timedelta
+
+    from emberwall.plans import catalog
+
+    d, key, used = shared_dir(spark, "t-sf"), "spark.sql.streaming.checkpointFileManagerClass", set()
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=i), i % 7, "view", float(i), "{}") for i in range(6400)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(
+        f"{d}/events.parquet")
+    monkeypatch.setattr(catalog, "SIZES_STORED", 2, raising=False)
+    got = catalog.QUERIES["rate_limit_records"](spark, d)
+    assert sorted(map(tuple, got.collect())) == [(0, 2000), (1, 2000), (2, 2000), (3, 1040)]
+    assert len(got.inputFiles()) < 4
+    src = shared_dir(spark, "t-src")
+    log_lines(spark, SF001).coalesce(1).write.text(src)
+    writer = ST.line_stream(spark, src, max_records_per_trigger=500).writeStream
+    ST._run(writer.foreachBatch(lambda b, i: used.add(b.sparkSession.conf.get(key, None))), shared_dir(spark, "t-ckpt"), None, True, True)
+    assert [str(c).rsplit(".", 1)[-1] for c in used] == ["FileSystemBasedCheckpointFileManager"]
+    assert spark.conf.get(key, None) is None
+
+
 def test_window_state_follows_the_addresses(spark):
     """A window of few addresses holds few; counts stay within four standard errors, empty values count, nulls do not."""
     line = '{{"id":"{0}","timestamp":"2024-01-{1:02d}T{2:02d}:00:00Z","firewall_id":"f","protocol":"TCP","action":"DENY","src_ip":"10.0.0.{3}"}}'
